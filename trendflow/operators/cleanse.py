@@ -173,11 +173,17 @@ def cleanse(df: DataFrame) -> DataFrame:
     out = df.filter(F.col("video_id").isNotNull()).withColumn("region", normalise_region("region"))
     if "trending_date_parsed" not in out.columns:
         out = out.withColumn("trending_date_parsed", parse_trending_date("trending_date"))
-    return with_ratios(fill_metric_zeros(out))
+    out = with_ratios(fill_metric_zeros(out))
+    if all(c in out.columns for c in CLEAN_COLUMNS):
+        out = out.select(*CLEAN_COLUMNS, *[c for c in out.columns if c not in CLEAN_COLUMNS])
+    return out
 
 
 def with_audit(df: DataFrame, job_name: str) -> DataFrame:
     return df.withColumns({"_processed_at": F.current_timestamp(), "_job_name": F.lit(job_name)})
 
 
-SILVER_COLUMNS = FLAT_NAMES + ["region", "trending_date_parsed", "like_ratio", "engagement_rate"]
+# Column order of cleansed rows (before audit columns). Dedup tie-breaks
+# follow frame order, so every path into D1 selects this order first.
+CLEAN_COLUMNS = FLAT_NAMES + ["region", "_ingested_at", "trending_date_parsed",
+                              "like_ratio", "engagement_rate"]
