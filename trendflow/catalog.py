@@ -19,7 +19,9 @@ from trendflow.operators.enrich import (
     category_lookup, enrich, fill_unknown, join_categories, unmatched_count,
 )
 from trendflow.operators.envelope import attach_envelope
-from trendflow.operators.reference import reference_rows
+from trendflow.operators.reference import document_report, reference_rows
+from trendflow.operators.cleanse import CLEAN_COLUMNS
+from trendflow.plans.silver import build_silver_statistics
 from trendflow.sources import tables as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +80,13 @@ def q_metric_ratios(spark, sf_dir):
                       "comment_count", "like_ratio", "engagement_rate")
 
 
+def q_silver_statistics(spark, sf_dir):
+    """P1-P11 + D1: raw CSV-shaped text -> Silver rows (audit stamps and the
+    per-run delivery time left out of the compared output)."""
+    silver = build_silver_statistics(src.flat_bronze_view(spark, sf_dir))
+    return silver.select(*[c for c in CLEAN_COLUMNS if c != "_ingested_at"])
+
+
 def q_dedup_latest(spark, sf_dir):
     """D1 + W1: one row per (video_id, region, trending_date_parsed)."""
     return silver_view(spark, sf_dir)
@@ -90,6 +99,11 @@ def q_reference_explode(spark, sf_dir):
         "category_id", "category_name", "region")
 
 
+def q_reference_report(spark, sf_dir):
+    """M2 + P18: per-document item counts and errors of the reference lane."""
+    return document_report(src.category_documents_view(spark, sf_dir), ["region", "page"])
+
+
 def q_category_lookup_join(spark, sf_dir):
     """P19 + D3 + J1 + P20."""
     return gold_input(spark, sf_dir).select(
@@ -178,7 +192,9 @@ QUERIES: dict[str, Query] = {
     "trending_date_parse": q_trending_date_parse,
     "metric_ratios": q_metric_ratios,
     "dedup_latest": q_dedup_latest,
+    "silver_statistics": q_silver_statistics,
     "reference_explode": q_reference_explode,
+    "reference_report": q_reference_report,
     "category_lookup_join": q_category_lookup_join,
     "unmatched_categories": q_unmatched_categories,
     "trending_analytics": q_trending_analytics,

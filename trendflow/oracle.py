@@ -127,6 +127,7 @@ FLAT = """flat AS (
          CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trending_date,
          p_name AS title, s_name AS channel_title,
          CASE WHEN l_orderkey % 53 = 0 THEN 'n/a' ELSE CAST(s_nationkey AS VARCHAR) END AS category_id,
+         CAST(l_shipdate AS VARCHAR) AS publish_time, p_type AS tags,
          CASE WHEN l_orderkey % 97 = 0 THEN 'n/a'
               WHEN l_orderkey % 59 = 0 THEN CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) || '.75'
               ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) END AS views,
@@ -135,12 +136,30 @@ FLAT = """flat AS (
          CASE WHEN l_orderkey % 67 = 0 THEN ''
               ELSE CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR) END AS dislikes,
          CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR) AS comment_count,
+         CAST(NULL AS VARCHAR) AS thumbnail_link,
          CASE WHEN l_linenumber = 1 THEN 'true' WHEN l_linenumber = 2 THEN 'maybe'
               ELSE 'false' END AS comments_disabled,
          'false' AS ratings_disabled, 'False' AS video_error_or_removed,
-         ' ' || upper(r_name) || ' ' AS region
+         p_type AS description, ' ' || upper(r_name) || ' ' AS region
   FROM facts)"""
 
+TYPED = f"""typed AS (
+  SELECT video_id, trending_date, title, channel_title, {_tolong('category_id')} AS category_id,
+         publish_time, tags,
+         coalesce({_tolong('views')}, 0) AS views, coalesce({_tolong('likes')}, 0) AS likes,
+         coalesce({_tolong('dislikes')}, 0) AS dislikes,
+         coalesce({_tolong('comment_count')}, 0) AS comment_count, thumbnail_link,
+         try_cast(comments_disabled AS BOOLEAN) AS comments_disabled,
+         try_cast(ratings_disabled AS BOOLEAN) AS ratings_disabled,
+         try_cast(video_error_or_removed AS BOOLEAN) AS video_error_or_removed,
+         description, lower(trim(region)) AS region
+  FROM flat WHERE video_id IS NOT NULL),
+cleansed AS (
+  SELECT *, {_parse_date('trending_date')} AS trending_date_parsed,
+         {_ratio('likes')} AS like_ratio,
+         {_ratio('likes + dislikes + comment_count')} AS engagement_rate
+  FROM typed)"""
+
 DOCS = """items AS (
   SELECT lower(r_name) AS region, CAST(floor(s_suppkey / 50) AS BIGINT) AS page, s_suppkey AS pos,
          CASE WHEN s_suppkey % 17 = 0 THEN NULL
@@ -199,22 +218,23 @@ ORACLE_SQL: dict[str, str] = {
 SELECT video_id, region, trending_date_parsed, views FROM stats
 WHERE region IN ('america', 'asia', 'europe')""",
 
-    "flat_cast": f"""WITH {FACTS}, {FLAT},
-typed AS (
-  SELECT video_id, trending_date, title, {_tolong('category_id')} AS category_id,
-         coalesce({_tolong('views')}, 0) AS views, coalesce({_tolong('likes')}, 0) AS likes,
-         coalesce({_tolong('dislikes')}, 0) AS dislikes,
-         coalesce({_tolong('comment_count')}, 0) AS comment_count,
-         try_cast(comments_disabled AS BOOLEAN) AS comments_disabled,
-         try_cast(ratings_disabled AS BOOLEAN) AS ratings_disabled,
-         try_cast(video_error_or_removed AS BOOLEAN) AS video_error_or_removed,
-         lower(trim(region)) AS region
-  FROM flat WHERE video_id IS NOT NULL)
-SELECT video_id, trending_date, {_parse_date('trending_date')} AS trending_date_parsed, title,
-       category_id, views, likes, dislikes, comment_count, comments_disabled, ratings_disabled,
-       video_error_or_removed, region, {_ratio('likes')} AS like_ratio,
-       {_ratio('likes + dislikes + comment_count')} AS engagement_rate
-FROM typed""",
+    "flat_cast": f"""WITH {FACTS}, {FLAT}, {TYPED}
+SELECT video_id, trending_date, trending_date_parsed, title, category_id, views, likes, dislikes,
+       comment_count, comments_disabled, ratings_disabled, video_error_or_removed, region,
+       like_ratio, engagement_rate
+FROM cleansed""",
+
+    "silver_statistics": f"""WITH {FACTS}, {FLAT}, {TYPED}
+SELECT * FROM cleansed
+QUALIFY row_number() OVER (
+  PARTITION BY video_id, region, trending_date_parsed
+  ORDER BY views DESC NULLS LAST, likes DESC NULLS LAST, dislikes DESC NULLS LAST,
+           comment_count DESC NULLS LAST, trending_date ASC NULLS FIRST, title ASC NULLS FIRST,
+           channel_title ASC NULLS FIRST, category_id ASC NULLS FIRST,
+           publish_time ASC NULLS FIRST, tags ASC NULLS FIRST, thumbnail_link ASC NULLS FIRST,
+           comments_disabled ASC NULLS FIRST, ratings_disabled ASC NULLS FIRST,
+           video_error_or_removed ASC NULLS FIRST, description ASC NULLS FIRST,
+           like_ratio ASC NULLS FIRST, engagement_rate ASC NULLS FIRST) = 1""",
 
     "nested_flatten": f"""WITH {FACTS}
 SELECT CAST(l_partkey AS VARCHAR) AS video_id,
@@ -260,6 +280,10 @@ named AS (SELECT * FROM last_in_doc WHERE title IS NOT NULL)
 SELECT category_id, title AS category_name, region FROM named
 QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY page DESC, pos DESC) = 1""",
 
+    "reference_report": f"""WITH {DOCS}
+SELECT region, page, count(*) AS items, CAST(NULL AS VARCHAR) AS error
+FROM items GROUP BY region, page""",
+
     "category_lookup_join": f"""WITH {GOLD_IN}
 SELECT video_id, region, trending_date_parsed, category_id, category_name, views FROM gold_in""",
 
