@@ -25,6 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table spread over at least ``spark.default.parallelism`` tasks.
+
+    A large scan already has one task per file split and is returned as is.
+    A file stored as a single Parquet row group cannot be split, so all the
+    work before the first shuffle would run in one task; only then the rows
+    are redistributed (round-robin) across the available cores.
+    """
+    df = table(spark, sf_dir, name)
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation -> region names (25 rows by the star schema's definition)."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -33,7 +48,7 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").select(
+    lineitem = fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
