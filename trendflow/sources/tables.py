@@ -21,8 +21,17 @@ from pyspark.sql import functions as F
 from trendflow.config import MAX_ITEMS_PER_PAGE
 
 
+# The driver's tables are read-only, so an opened table (file listing and
+# footer schema) is reused by every query of the same session.
+_OPENED: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +42,14 @@ def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     work before the first shuffle would run in one task; only then the rows
     are redistributed (round-robin) across the available cores.
     """
-    df = table(spark, sf_dir, name)
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    key = (id(spark), f"{sf_dir.rstrip('/')}/{name}.parquet#spread")
+    if key not in _OPENED:
+        df = table(spark, sf_dir, name)
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+        _OPENED[key] = df
+    return _OPENED[key]
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
