@@ -113,9 +113,9 @@ def test_incremental_equals_full(spark, tmp_dir):
     staging, silver, ckpt = (os.path.join(tmp_dir, x) for x in ("staging", "silver", "ckpt"))
     land_flat(spark, bronze_dir, F.col("l_orderkey") % 2 == 0)
     r1 = incremental_silver(spark, bronze_dir, staging, silver, ckpt, regions=REGIONS)
-    assert r1["regions"] and spark.read.parquet(silver).count() > 0
+    assert r1["partitions"] and spark.read.parquet(silver).count() > 0
     r0 = incremental_silver(spark, bronze_dir, staging, silver, ckpt, regions=REGIONS)
-    assert r0["regions"] == []  # nothing new
+    assert r0["partitions"] == []  # nothing new
     land_flat(spark, bronze_dir, F.col("l_orderkey") % 2 == 1)
     land_flat(spark, bronze_dir, F.col("l_orderkey") % 5 == 0)  # re-delivered rows
     incremental_silver(spark, bronze_dir, staging, silver, ckpt, regions=REGIONS)
@@ -148,3 +148,27 @@ def test_payload_landing_roundtrip(spark, tmp_dir):
     cols = ["video_id", "trending_date", "views", "likes", "dislikes", "region"]
     assert sorted(map(tuple, flat.select(*cols).collect())) == \
         sorted(map(tuple, direct.select(*cols).collect()))
+
+
+def test_reference_landing_replaces_region(spark, tmp_dir):
+    from trendflow.operators.reference import reference_rows
+    from trendflow.sinks.parquet import land_reference
+
+    nation = src.table(spark, SF_SMALL, "nation")
+    region = src.table(spark, SF_SMALL, "region")
+    items = F.struct(F.lit("cat").alias("kind"), F.lit("e").alias("etag"),
+                     F.col("n_nationkey").cast("string").alias("id"),
+                     F.struct(F.lit("c").alias("channelId"), F.col("n_name").alias("title"),
+                              F.lit(True).alias("assignable")).alias("snippet"))
+    docs = (nation.join(region, nation.n_regionkey == region.r_regionkey)
+            .groupBy(F.upper("r_name").alias("region"))
+            .agg(F.collect_list(items).alias("items"))
+            .select(F.lit("list").alias("kind"), F.lit("e").alias("etag"), "items", "region"))
+    land_reference(docs, tmp_dir)
+    land_reference(docs.filter(F.col("region") == "ASIA"), tmp_dir)  # replaces one region only
+    back = bronze.read_category_documents(spark, tmp_dir, multi_line=False)
+    assert back.count() == 5
+    rows = reference_rows(back, ["source_file", "region"])
+    assert rows.count() == 25
+    assert {r.region for r in rows.select("region").distinct().collect()} == \
+        {"africa", "america", "asia", "europe", "middle east"}

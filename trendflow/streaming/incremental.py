@@ -3,12 +3,16 @@
 Only files that arrived since the last run are read (file-source
 checkpoint), with an available-now trigger so the job processes what is
 there and stops. Each micro-batch is cleansed (P1-P10) and staged under
-``<staging>/batch=<id>/region=<xx>/``; writing a batch folder in overwrite
-mode makes a replayed batch idempotent. Afterwards Silver is rebuilt for
-the regions that received rows: D1 over *all* staged rows of those regions,
-written with dynamic overwrite to the separate Silver path. A repeated or
-late delivery of a key is thereby deduplicated across runs, and the
-result equals a full batch recompute over the same files.
+``<staging>/region=<xx>/trending_date_parsed=<day>/batch=<id>/``; a replayed
+batch overwrites its own folders only, so it is idempotent. Afterwards
+Silver is rebuilt for the (region, day) pairs that received rows: D1 over
+*all* staged rows of those pairs (the dedup key contains both, so nothing
+outside them can change), written with dynamic overwrite to the separate
+Silver path, which is partitioned by region and day. A run therefore
+rewrites only the days it touched, not whole regions (one region may hold
+a third of the table). A repeated or late delivery of a key is
+deduplicated across runs, and the result equals a full batch recompute
+over the same files.
 """
 
 from __future__ import annotations
@@ -26,6 +30,9 @@ from trendflow.operators.dedup import latest_statistics
 from trendflow.plans.silver import STATS_JOB
 from trendflow.sinks.parquet import write_table
 
+SILVER_PARTITIONS = ("region", "trending_date_parsed")
+STAGING_PARTITIONS = ("region", "trending_date_parsed", "batch")
+
 
 def _stream(spark: SparkSession, bronze_path: str, fmt: str, max_files: int | None) -> DataFrame:
     reader = spark.readStream
@@ -47,7 +54,8 @@ def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
                        regions: Iterable[str] | None = tuple(SILVER_REGIONS),
                        run_date: _dt.date | str | None = None,
                        max_files_per_batch: int | None = None) -> dict:
-    """One incremental run. Returns the regions rebuilt and batch count.
+    """One incremental run. Returns the (region, day) pairs rebuilt and the
+    micro-batch ids.
 
     ``checkpoint_path`` must be on shared storage (it is the stream's
     progress log); ``staging_path`` and ``silver_path`` must differ.
@@ -62,11 +70,12 @@ def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
         clean = cleanse(to_flat(batch, run_date))
         if wanted is not None:
             clean = clean.filter(F.col("region").isin(wanted))
-        clean = clean.persist()
+        clean = clean.withColumn("batch", F.lit(batch_id)).persist()
         try:
-            target = f"{staging_path.rstrip('/')}/batch={batch_id}"
-            write_table(clean, target)
-            touched.update(r["region"] for r in clean.select("region").distinct().collect())
+            write_table(clean, staging_path, partition_by=STAGING_PARTITIONS)
+            # bounded: regions x days present in one micro-batch
+            touched.update((r[0], r[1]) for r in
+                           clean.select(*SILVER_PARTITIONS).distinct().collect())
             batches.append(batch_id)
         finally:
             clean.unpersist()
@@ -80,15 +89,22 @@ def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
     )
     query.awaitTermination()
     if touched:
-        publish_regions(spark, staging_path, silver_path, sorted(touched))
-    return {"regions": sorted(touched), "batches": batches}
+        publish(spark, staging_path, silver_path, sorted(touched, key=repr))
+    return {"partitions": sorted(touched, key=repr), "batches": batches}
 
 
-def publish_regions(spark: SparkSession, staging_path: str, silver_path: str,
-                    regions: list[str]) -> None:
-    """D1 over every staged row of ``regions`` -> Silver (dynamic overwrite:
-    other regions' folders stay as they are). Also the recovery step: run it
-    with all staged regions to rebuild Silver after an interrupted run."""
-    staged = spark.read.option("basePath", staging_path).parquet(staging_path)
-    rows = staged.filter(F.col("region").isin(regions)).select(*CLEAN_COLUMNS)
-    write_table(latest_statistics(with_audit(rows, STATS_JOB)), silver_path)
+def publish(spark: SparkSession, staging_path: str, silver_path: str,
+            pairs: list[tuple] | None = None) -> None:
+    """D1 over every staged row of the given (region, day) pairs -> Silver
+    (dynamic overwrite: other folders stay). ``pairs=None`` rebuilds all,
+    which is also the recovery step after an interrupted run."""
+    staged = spark.read.parquet(staging_path)
+    if pairs is not None:
+        keys = spark.createDataFrame(pairs, "region string, trending_date_parsed date")
+        cond = [staged[c].eqNullSafe(keys[c]) for c in SILVER_PARTITIONS]
+        # the key list is small (touched regions x days): broadcast semi-join,
+        # which also prunes the staging folders it does not name
+        staged = staged.join(F.broadcast(keys), cond, "left_semi")
+    rows = staged.select(*CLEAN_COLUMNS)
+    write_table(latest_statistics(with_audit(rows, STATS_JOB)), silver_path,
+                partition_by=SILVER_PARTITIONS)
