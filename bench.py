@@ -24,6 +24,7 @@ from trendflow import catalog  # noqa: E402
 from trendflow.operators.ranking import release_cached  # noqa: E402
 from trendflow.plans.orchestrate import Layout, run_all  # noqa: E402
 from trendflow.session import local_session, scratch_path  # noqa: E402
+from trendflow.sinks.parquet import land_reference  # noqa: E402
 from trendflow.sources import tables as src  # noqa: E402
 
 HEADLINE = {
@@ -53,8 +54,8 @@ def land_bronze(spark, sf_dir: str, root: str) -> Layout:
     flat = src.flat_bronze_view(spark, sf_dir).withColumn("region", F.upper(F.trim("region")))
     flat.write.mode("overwrite").option("header", True).partitionBy("region").csv(layout.bronze_statistics)
     docs = src.category_documents_view(spark, sf_dir).select(
-        "kind", "etag", "items", F.upper("region").alias("region"), "page")
-    docs.write.mode("overwrite").partitionBy("region", "page").json(layout.bronze_reference)
+        "kind", "etag", "items", F.upper("region").alias("region"))
+    land_reference(docs, layout.bronze_reference)
     return layout
 
 

@@ -140,7 +140,7 @@ def test_payload_landing_roundtrip(spark, tmp_dir):
     meta = landed.select("_pipeline_metadata.*").first()
     assert meta.source == "youtube_data_api_v3" and meta.video_count >= 1 and meta.region.islower()
     land_payloads(landed, tmp_dir)
-    back = bronze.read_api_statistics(spark, tmp_dir, regions=None, multi_line=False)
+    back = bronze.read_api_statistics(spark, tmp_dir, regions=None)
     assert {"region", "date", "hour", "ingestion_id"} <= set(back.columns)
     flat = flatten_api(back)
     direct = flatten_api(view.drop("ship_day"))
@@ -166,9 +166,31 @@ def test_reference_landing_replaces_region(spark, tmp_dir):
             .select(F.lit("list").alias("kind"), F.lit("e").alias("etag"), "items", "region"))
     land_reference(docs, tmp_dir)
     land_reference(docs.filter(F.col("region") == "ASIA"), tmp_dir)  # replaces one region only
-    back = bronze.read_category_documents(spark, tmp_dir, multi_line=False)
+    back = bronze.read_category_documents(spark, tmp_dir)
     assert back.count() == 5
     rows = reference_rows(back, ["source_file", "region"])
     assert rows.count() == 25
     assert {r.region for r in rows.select("region").distinct().collect()} == \
         {"africa", "america", "asia", "europe", "middle east"}
+
+
+def test_end_to_end_api_json_lane(spark, tmp_dir):
+    from trendflow.operators.envelope import attach_envelope
+    from trendflow.sinks.parquet import land_payloads
+
+    layout = Layout(os.path.join(tmp_dir, "bronze_stats"), os.path.join(tmp_dir, "bronze_ref"),
+                    os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "gold"))
+    month = F.col("ship_day").between("1995-01-01", "1995-01-31")
+    view = src.api_payload_view(spark, SF_SMALL).filter(month)
+    landed = attach_envelope(view.drop("ship_day", "document_id"),
+                             F.to_timestamp("_pipeline_metadata.ingestion_timestamp"),
+                             F.upper("_pipeline_metadata.region"))
+    land_payloads(landed, layout.bronze_statistics)
+    write_category_docs(layout.bronze_reference)
+    res = run_all(spark, layout, fmt="json", regions=REGIONS)
+    assert res.silver["rows_read"] == view.filter(
+        F.col("_pipeline_metadata.region").isin(REGIONS)).count()
+    assert res.silver["rows_written"] > 0
+    assert res.quality_passed, res.quality_results
+    trending = spark.read.parquet(f"{layout.gold_root}/trending_analytics")
+    assert trending.agg(F.sum("total_videos")).first()[0] == res.silver["rows_written"]
