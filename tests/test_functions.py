@@ -45,11 +45,11 @@ def test_exact_avg_order_free(spark):
 
 
 def test_region_from_path(spark):
-    keys = [("youtube/raw/region=US/us_category_id.json",),
-            ("youtube/raw/region%3DGB/date%3D2024-01-01/x.json",),
-            ("youtube/raw/x.json",),
+    keys = [("landing/raw/region=US/us_category_id.json",),
+            ("landing/raw/region%3DGB/date%3D2024-01-01/x.json",),
+            ("landing/raw/x.json",),
             ("region=ca/a.json",),
-            ("youtube/region=/x.json",)]
+            ("landing/region=/x.json",)]
     df = spark.createDataFrame(keys, "k string")
     got = [r[0] for r in df.select(region_from_path("k")).collect()]
     assert got == ["us", "gb", "unknown", "ca", "unknown"]

@@ -354,11 +354,11 @@ FROM events GROUP BY event_type, CAST(floor(event_id / 50) AS BIGINT)""",
     "region_from_path": """WITH k AS (
   SELECT s_suppkey,
          CASE s_suppkey % 3
-           WHEN 0 THEN 'youtube/raw/region=' || replace(upper(r_name), ' ', '_') || '/s'
+           WHEN 0 THEN 'landing/raw/region=' || replace(upper(r_name), ' ', '_') || '/s'
                        || CAST(s_suppkey AS VARCHAR) || '.json'
-           WHEN 1 THEN 'youtube/raw/region%3D' || replace(upper(r_name), ' ', '_')
+           WHEN 1 THEN 'landing/raw/region%3D' || replace(upper(r_name), ' ', '_')
                        || '/date%3D2024-01-01/s' || CAST(s_suppkey AS VARCHAR) || '.json'
-           ELSE 'youtube/raw/s' || CAST(s_suppkey AS VARCHAR) || '.json' END AS object_key
+           ELSE 'landing/raw/s' || CAST(s_suppkey AS VARCHAR) || '.json' END AS object_key
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT s_suppkey, object_key, url_decode(object_key) AS decoded_key,
        coalesce(nullif(lower(regexp_extract(url_decode(object_key), '(?:^|/)region=([^/=]*)', 1)), ''),

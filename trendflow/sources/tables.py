@@ -267,9 +267,9 @@ def object_keys_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("s"), F.col("s_suppkey").cast("string"), F.lit(".json"))
     reg = F.regexp_replace(F.upper("r_name"), " ", "_")
     key = (
-        F.when(kind == 0, F.concat(F.lit("youtube/raw/region="), reg, F.lit("/"), name))
-        .when(kind == 1, F.concat(F.lit("youtube/raw/region%3D"), reg, F.lit("/date%3D2024-01-01/"), name))
-        .otherwise(F.concat(F.lit("youtube/raw/"), name))
+        F.when(kind == 0, F.concat(F.lit("landing/raw/region="), reg, F.lit("/"), name))
+        .when(kind == 1, F.concat(F.lit("landing/raw/region%3D"), reg, F.lit("/date%3D2024-01-01/"), name))
+        .otherwise(F.concat(F.lit("landing/raw/"), name))
     )
     return rows.select("s_suppkey", key.alias("object_key"))
 
