@@ -23,12 +23,17 @@ from trendflow.config import MAX_ITEMS_PER_PAGE
 
 # The driver's tables are read-only, so an opened table (file listing and
 # footer schema) is reused by every query of the same session.
-_OPENED: dict[tuple[int, str], DataFrame] = {}
+_OPENED: dict[tuple, DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> tuple:
+    # a new SparkContext or session never reuses an entry of a stopped one
+    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), id(spark))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (*_session_key(spark), path)
     if key not in _OPENED:
         _OPENED[key] = spark.read.parquet(path)
     return _OPENED[key]
@@ -42,7 +47,7 @@ def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     work before the first shuffle would run in one task; only then the rows
     are redistributed (round-robin) across the available cores.
     """
-    key = (id(spark), f"{sf_dir.rstrip('/')}/{name}.parquet#spread")
+    key = (*_session_key(spark), f"{sf_dir.rstrip('/')}/{name}.parquet#spread")
     if key not in _OPENED:
         df = table(spark, sf_dir, name)
         want = spark.sparkContext.defaultParallelism

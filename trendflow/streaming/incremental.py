@@ -28,8 +28,11 @@ from trendflow.config import API_PAYLOAD_SCHEMA, FLAT_TEXT_SCHEMA, SILVER_REGION
 from trendflow.operators.cleanse import CLEAN_COLUMNS, cleanse, to_flat, with_audit
 from trendflow.operators.dedup import latest_statistics
 from trendflow.plans.silver import STATS_JOB
+from trendflow.operators.enrich import broadcast_if_bounded
 from trendflow.sinks.parquet import write_table
 
+PUBLISH_BROADCAST_ROWS = 1_000_000
+
 SILVER_PARTITIONS = ("region", "trending_date_parsed")
 STAGING_PARTITIONS = ("region", "trending_date_parsed", "batch")
 
@@ -102,9 +105,9 @@ def publish(spark: SparkSession, staging_path: str, silver_path: str,
     if pairs is not None:
         keys = spark.createDataFrame(pairs, "region string, trending_date_parsed date")
         cond = [staged[c].eqNullSafe(keys[c]) for c in SILVER_PARTITIONS]
-        # the key list is small (touched regions x days): broadcast semi-join,
-        # which also prunes the staging folders it does not name
-        staged = staged.join(F.broadcast(keys), cond, "left_semi")
+        # the key list is small (touched regions x days): broadcast semi-join
+        # behind a row-count check, which also prunes unnamed staging folders
+        staged = staged.join(broadcast_if_bounded(keys, PUBLISH_BROADCAST_ROWS), cond, "left_semi")
     rows = staged.select(*CLEAN_COLUMNS)
     write_table(latest_statistics(with_audit(rows, STATS_JOB)), silver_path,
                 partition_by=SILVER_PARTITIONS)
