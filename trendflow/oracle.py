@@ -172,15 +172,15 @@ DOCS = """items AS (
 
 GS = """gs AS (
   SELECT count(*) AS n,
-         count_if(video_id IS NULL) AS n_video_id, count_if(title IS NULL) AS n_title,
-         count_if(channel_title IS NULL) AS n_channel_title, count_if(views IS NULL) AS n_views,
-         count_if(region IS NULL) AS n_region,
-         count_if(CAST(views AS DOUBLE) < 0) AS neg,
-         count_if(CAST(views AS DOUBLE) > 50000000000) AS ext
+         CAST(count_if(video_id IS NULL) AS BIGINT) AS n_video_id, CAST(count_if(title IS NULL) AS BIGINT) AS n_title,
+         CAST(count_if(channel_title IS NULL) AS BIGINT) AS n_channel_title, CAST(count_if(views IS NULL) AS BIGINT) AS n_views,
+         CAST(count_if(region IS NULL) AS BIGINT) AS n_region,
+         CAST(count_if(CAST(views AS DOUBLE) < 0) AS BIGINT) AS neg,
+         CAST(count_if(CAST(views AS DOUBLE) > 50000000000) AS BIGINT) AS ext
   FROM gaps),
 ls AS (
-  SELECT count(*) AS n, count_if(category_id IS NULL) AS n_category_id,
-         count_if(category_name IS NULL) AS n_category_name, count_if(region IS NULL) AS n_region
+  SELECT count(*) AS n, CAST(count_if(category_id IS NULL) AS BIGINT) AS n_category_id,
+         CAST(count_if(category_name IS NULL) AS BIGINT) AS n_category_name, CAST(count_if(region IS NULL) AS BIGINT) AS n_region
   FROM lookup)"""
 
 
@@ -328,9 +328,9 @@ SELECT *, round(total_views / sum(total_views) OVER (PARTITION BY region, trendi
 FROM ca""",
 
     "dq_inflight": f"""WITH {FACTS}, {GAPS}
-SELECT count_if(video_id IS NULL) AS null_video_id, count_if(title IS NULL) AS null_title,
-       count_if(channel_title IS NULL) AS null_channel_title, count_if(views IS NULL) AS null_views,
-       count_if(views < 0) AS negative_views
+SELECT CAST(count_if(video_id IS NULL) AS BIGINT) AS null_video_id, CAST(count_if(title IS NULL) AS BIGINT) AS null_title,
+       CAST(count_if(channel_title IS NULL) AS BIGINT) AS null_channel_title, CAST(count_if(views IS NULL) AS BIGINT) AS null_views,
+       CAST(count_if(views < 0) AS BIGINT) AS negative_views
 FROM gaps""",
 
     "dq_report": f"""WITH {FACTS}, {GAPS}, {LOOKUP}, {GS}
@@ -340,7 +340,7 @@ FROM gaps""",
 report AS ({DQ_ROWS}
   UNION ALL SELECT 'table_read', 'clean_missing', NULL, false, NULL, NULL, NULL, 'missing', NULL)
 SELECT coalesce(bool_and(passed), true) AS quality_passed, count(*) AS checks,
-       count_if(NOT passed) AS failed_checks
+       CAST(count_if(NOT passed) AS BIGINT) AS failed_checks
 FROM report""",
 
     "payload_envelope": """SELECT strftime(max(ts), '%Y%m%d_%H%M%S') AS ingestion_id,
