@@ -54,10 +54,15 @@ def main() -> None:
              "has no such exchange.\n"]
     for name in QUERIES:
         df = catalog.QUERIES[name](spark, sf_dir)
+        initial = df._jdf.queryExecution().executedPlan().toString()
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         parts.append(f"## {name}\n\n{(catalog.QUERIES[name].__doc__ or '').strip()}\n\n```\n"
                      f"{trimmed(plan)}\n```\n")
+        if "InMemoryTableScan" in plan:
+            cached = initial[initial.find("InMemoryRelation"):]
+            parts.append("Plan of the persisted (cached) part, before execution:\n\n```\n"
+                         f"{trimmed(cached)}\n```\n")
         release_cached()
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as fh:
