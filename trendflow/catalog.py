@@ -16,7 +16,7 @@ from trendflow.operators import quality as dq
 from trendflow.operators.cleanse import cast_flat, cleanse, fill_metric_zeros, flatten_api, with_ratios
 from trendflow.operators.dedup import latest_statistics
 from trendflow.operators.enrich import (
-    category_lookup, enrich, fill_unknown, join_categories, unmatched_count,
+    category_lookup, enrich, join_categories, unmatched_count,
 )
 from trendflow.operators.envelope import attach_envelope
 from trendflow.operators.reference import document_report, reference_rows
