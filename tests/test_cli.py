@@ -13,3 +13,20 @@ def test_quality_command_reports_missing_tables(spark, tmp_dir, capsys):
     failed = [r for r in out["results"] if not r["passed"]]
     assert [r["table"] for r in failed] == ["clean_reference_data"]
     assert failed[0]["check"] == "table_read"
+
+
+def test_run_command_builds_gold(spark, tmp_dir, capsys):
+    import os
+
+    from test_files import REGIONS, land_flat, write_category_docs
+
+    stats, ref = os.path.join(tmp_dir, "bs"), os.path.join(tmp_dir, "br")
+    land_flat(spark, stats, quarter=True)
+    write_category_docs(ref)
+    code = main(["run", "--bronze-statistics", stats, "--bronze-reference", ref,
+                 "--silver-root", os.path.join(tmp_dir, "silver"),
+                 "--gold-root", os.path.join(tmp_dir, "gold"), "--regions", ",".join(REGIONS)])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["quality_passed"] is True
+    assert out["gold"]["trending_analytics_rows"] > 0
+    assert spark.read.parquet(os.path.join(tmp_dir, "gold", "category_analytics")).count() > 0
