@@ -50,15 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
     used as is. Only when it is unset (local tests) a scratch folder is made.
+    The folder is registered once; later calls return the same one.
     """
+    sc = spark.sparkContext
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="trendflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+    sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
