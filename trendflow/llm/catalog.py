@@ -7,8 +7,9 @@ from trendflow.llm.mixing import op8_mixing
 from trendflow.llm.ngram_join import op6_ngram_join
 from trendflow.llm.packing import op2_packing
 from trendflow.llm.quality_rules import op7_quality_rules
+from trendflow.llm.secret_scan import op3_secret_scan
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_dedup, op2_packing, op6_ngram_join, op7_quality_rules, op8_mixing)}
+    op1_embedding_dedup, op2_packing, op3_secret_scan, op6_ngram_join, op7_quality_rules, op8_mixing)}
 
 ORACLE_SQL: dict[str, str] = {}
