@@ -49,7 +49,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more, i.e. once
+    all that was derived from them is itself written."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -128,7 +128,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tables: in
         nodes.select("node", "space", "payload")
         .mapInArrow(_hash_batches(tables, rotations, seed), "node binary, space string, codes array<long>")
         .select("node", "space", F.explode("codes").alias("code"))
-        .select("node", F.xxhash64("space", "code").alias("bucket")), "vector-buckets")
+        .select(linking.short().alias("id"), F.xxhash64("space", "code").alias("bucket")), "vector-buckets")
     linked = linking.links(linking.candidate_clusters(buckets), nodes.select("node", "weight", "payload"),
                            cosine_links(threshold))
     classes = nodes.select("node", "weight").join(linked, "node", "left").select(

@@ -16,10 +16,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendflow.llm.common import materialize
+from trendflow.llm.common import discard, materialize
 
 #: Nodes of one block; a task holds two blocks at a time.
 BLOCK = 256
@@ -42,8 +42,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if state[0] == 0:
             break
-        cur = materialize(_small_star(_large_star(cur)), "edges")
+        last, cur = cur, materialize(_small_star(_large_star(cur)), "edges")
         before, state = state, _fingerprint(cur)
+        discard(last)
         if before == state:
             break
     else:
@@ -71,15 +72,22 @@ def _small_star(e: DataFrame) -> DataFrame:
     return moved.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
 
 
+def short(node: str = "node") -> Column:
+    """The first seven bytes of a node as a number. Nodes that agree in them
+    share a cluster, which only means that they are compared."""
+    return F.conv(F.hex(F.substring(node, 1, 7)), 16, 10).cast("long")
+
+
 def candidate_clusters(buckets: DataFrame) -> DataFrame:
-    """(node, cluster) for the nodes that share a bucket with another node.
+    """(id, cluster) for the ids that share a bucket with another one.
 
-    ``buckets``: (node, bucket), materialised, as it is read twice.
+    ``buckets``: (id, bucket) of ``short`` ids, materialised, as it is read
+    twice.
     """
-    lead = (buckets.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("top"))
+    lead = (buckets.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("top"))
             .where(F.col("b") != F.col("top")).select("bucket", "b"))
-    star = buckets.join(lead, "bucket").select(F.col("node").alias("a"), "b")
-    return connected_components(star).select("node", F.col("root").alias("cluster"))
+    star = buckets.join(lead, "bucket").select(F.col("id").alias("a"), "b")
+    return connected_components(star).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
 
 
 def blocked(clusters: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -87,9 +95,8 @@ def blocked(clusters: DataFrame, payload: DataFrame, block: int = BLOCK) -> Data
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
     dealt = (clusters.join(sizes, "cluster")
-             .select("node", "cluster", blocks.alias("blocks"),
-                     F.pmod(F.xxhash64("node"), blocks).cast("int").alias("blk")))
-    return (dealt.join(payload, "node")
+             .select("id", "cluster", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("blk")))
+    return (payload.withColumn("id", short()).join(dealt, "id")
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("cluster", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"),
                     "blk", "node", "weight", "payload"))

@@ -10,13 +10,13 @@ possible from the cheapest round of supplies first, rerouting where needed.
 The flow sees one row per pattern, never documents.
 
 Within a pattern, documents are taken whole in the order of a seeded hash of
-their id and text, up to the pattern's share. The cut is found from sums over
-2 ** 14 ranges of the hash and a running sum inside the one range that holds
-it, so no task orders a whole source.
+their id and text, up to the pattern's share. The last hash taken is found
+from sums over 2 ** 14 ranges of the hash and a running sum inside the one
+range that holds it, so no task orders a whole source.
 
 Cases: null text is empty (size 0, never taken); a null source is a source of
-its own, after all others; repeated rows have equal hashes and are cut by a
-running sum over ties. A table without words yields targets of 0. Columns of
+its own, after all others; repeated rows have equal hashes and are taken or
+left together. A table without words yields targets of 0. Columns of
 the input named like internal ones are not touched (the rows travel in a
 struct).
 """
@@ -110,23 +110,18 @@ def _path(start, flow, left, holders, eps):
     return None
 
 
-def mix(docs: DataFrame, members: Column | None = None, text: str = "text", key: str = "doc_id",
-        weights: tuple = WEIGHTS, budget: float = BUDGET, max_repeats: int = MAX_REPEATS,
-        seed: int = SEED, carry: Column | None = None) -> DataFrame:
-    """(key, size, source_size, target, taken [, row]) per row of ``docs``.
-
-    ``members``: array of the sources a document belongs to (default: its
-    ``source``); source_size and target are sums over them. ``carry`` is a
-    column that comes along as ``row``.
-    """
-    spark = docs.sparkSession
+def _keyed(docs: DataFrame, members: Column | None, text: str, key: str, seed: int, *more: Column) -> DataFrame:
     members = F.array(F.col("source")) if members is None else members
-    extra = [] if carry is None else [carry.alias("row")]
-    sized = docs.select(
+    return docs.select(
         F.col(key).alias("key"), F.array_sort(F.array_distinct(members)).alias("pattern"),
-        word_count(F.col(text)).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key), F.xxhash64(text)), 1).alias("u"), *extra)
-    sized = materialize(sized, "sizes")
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key), F.xxhash64(text)), 1).alias("u"), *more)
+
+
+def plan(sized: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """One row per pattern of ``sized`` (key, pattern, u, size; materialised):
+    source_size, target, passes (times every document is taken) and last_u
+    (documents up to this hash are taken once more)."""
+    spark = sized.sparkSession
     sums = sized.groupBy("pattern").agg(F.sum("size").alias("size")).collect()  # one row per pattern
     supply = {tuple(r["pattern"]): int(r["size"]) for r in sums}
     source_size: dict = {}
@@ -135,41 +130,69 @@ def mix(docs: DataFrame, members: Column | None = None, text: str = "text", key:
             source_size[s] = source_size.get(s, 0) + n
     target = targets(source_size, weights, budget, max_repeats)
     flow = route({p: float(n) for p, n in supply.items()}, target, max_repeats)
-    plan = []
+    rows = []
     for p, n in supply.items():
         total = sum(flow[p].values())
         passes = min(max_repeats, int(total / n + 1e-9)) if n else 0
-        plan.append((list(p), sum(source_size[s] for s in p), float(sum(target[s] for s in p)), passes,
+        rows.append((list(p), sum(source_size[s] for s in p), float(sum(target[s] for s in p)), passes,
                      max(0.0, total - passes * n)))
-    shares = spark.createDataFrame(plan, "pattern array<string>, source_size long, target double, passes long, more double")
-    sized = sized.withColumn("slot", F.shiftright("u", 63 - RANGE_BITS).cast("int"))
-    # running sums over the ranges of each pattern (2 ** 14 rows of one at most)
-    ranges = sized.groupBy("pattern", "slot").agg(F.sum("size").alias("words"))
+    shares = spark.createDataFrame(rows, "pattern array<string>, source_size long, target double, passes long, more double")
+    # running sums over the ranges of each pattern (2 ** RANGE_BITS rows of one at most)
+    slot = F.shiftright("u", 63 - RANGE_BITS).cast("int")
+    ranges = sized.groupBy("pattern", slot.alias("slot")).agg(F.sum("size").alias("words"))
     below = F.sum("words").over(Window.partitionBy("pattern").orderBy("slot")) - F.col("words")
-    cuts = ranges.select("pattern", "slot", "words", below.alias("below"))
-    cuts = cuts.join(F.broadcast(shares.select("pattern", "more")), "pattern")  # one row per pattern on the right
-    cut = (cuts.where((F.col("below") < F.col("more")) & (F.col("below") + F.col("words") >= F.col("more")))
-           .groupBy("pattern").agg(F.max("slot").alias("cut_slot"), F.max_by("below", "slot").alias("cut_below")))
-    shares = shares.join(cut, "pattern", "left")
-    rows = sized.join(F.broadcast(shares), "pattern")  # one row per pattern on the right
-    inside = F.coalesce(F.col("slot") == F.col("cut_slot"), F.lit(False))
-    first = F.coalesce(F.col("slot") < F.col("cut_slot"), F.lit(False))
-    settled = rows.where(~inside).withColumn("again", first)
-    running = F.sum("size").over(Window.partitionBy("pattern").orderBy("u", "key", "size").rowsBetween(Window.unboundedPreceding, 0))
-    at_cut = (rows.where(inside).withColumn("_run", F.col("cut_below") + running - F.col("size") / 2)
-              .withColumn("again", F.col("_run") <= F.col("more")).drop("_run"))
-    taken = F.col("size") * F.least(F.lit(max_repeats), F.col("passes") + F.col("again").cast("long"))
-    return settled.unionByName(at_cut).select(
-        F.col("key").alias(key), "size", "source_size", "target", taken.cast("long").alias("taken"),
-        *(["row"] if extra else []))
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    cuts = (ranges.withColumn("below", below)
+            .join(F.broadcast(shares.select("pattern", "more")), "pattern")  # one row per pattern
+            .where((F.col("below") < F.col("more")) & (F.col("below") + F.col("words") >= F.col("more")))
+            .select("pattern", F.col("slot").alias("cut"), "below", "more"))
+    inside = (sized.withColumn("slot", slot).join(F.broadcast(cuts), "pattern")  # one row per pattern
+              .where(F.col("slot") == F.col("cut")))
+    running = F.sum("size").over(Window.partitionBy("pattern").orderBy("u", "key", "size")
+                                 .rowsBetween(Window.unboundedPreceding, 0))
+    least = F.shiftleft(F.col("cut").cast("long"), 63 - RANGE_BITS) - 1  # where not even the range's first is taken
+    last = (inside.withColumn("fits", F.col("below") + running - F.col("size") / 2 <= F.col("more"))
+            .groupBy("pattern").agg(F.coalesce(F.max(F.when(F.col("fits"), F.col("u"))), F.max(least)).alias("last_u")))
+    # at most one row per pattern: small enough to hold in the plan of what follows
+    found = {tuple(r["pattern"]): r["last_u"] for r in last.collect()}
+    return spark.createDataFrame(
+        [(p, z, t, n, found.get(tuple(p))) for p, z, t, n, _ in rows],
+        "pattern array<string>, source_size long, target double, passes long, last_u long")
+
+
+def _sized(docs: DataFrame, members, text, key, seed) -> DataFrame:
+    return materialize(_keyed(docs, members, text, key, seed, word_count(F.col(text)).alias("size")), "sizes")
+
+
+def _times(max_repeats: int) -> Column:
+    again = F.coalesce(F.col("u") <= F.col("last_u"), F.lit(False)).cast("long")
+    return F.least(F.lit(max_repeats).cast("long"), F.col("passes") + again)
+
+
+def mix(docs: DataFrame, members: Column | None = None, text: str = "text", key: str = "doc_id",
+        weights: tuple = WEIGHTS, budget: float = BUDGET, max_repeats: int = MAX_REPEATS, seed: int = SEED) -> DataFrame:
+    """(key, size, source_size, target, taken) per row of ``docs``.
+
+    ``members``: array of the sources a document belongs to (default: its
+    ``source``); source_size and target are sums over them.
+    """
+    sized = _sized(docs, members, text, key, seed)
+    shares = plan(sized, weights, budget, max_repeats)
+    return (sized.join(F.broadcast(shares), "pattern")  # one row per pattern
+            .select(F.col("key").alias(key), "size", "source_size", "target",
+                    (F.col("size") * _times(max_repeats)).cast("long").alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, members: Column | None = None, text: str = "text", key: str = "doc_id",
+                    weights: tuple = WEIGHTS, budget: float = BUDGET, max_repeats: int = MAX_REPEATS,
+                    seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, all columns kept.
     Documents without words are left out, as the mix takes nothing of them."""
-    mixed = mix(docs, carry=F.struct("*"), **options)
-    times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    return (mixed.where(times > 0).withColumn("row", F.explode(F.array_repeat("row", times))).select("row.*"))
+    shares = plan(_sized(docs, members, text, key, seed), weights, budget, max_repeats)
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = _keyed(docs.where(worded), members, text, key, seed, F.struct("*").alias("row"))
+    times = _times(max_repeats).cast("int")
+    return (rows.join(F.broadcast(shares), "pattern").where(times > 0)  # one row per pattern
+            .withColumn("row", F.explode(F.array_repeat("row", times))).select("row.*"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

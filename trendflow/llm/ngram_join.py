@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendflow.llm import linking
-from trendflow.llm.common import materialize, read_table, words
+from trendflow.llm.common import discard, materialize, read_table, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -203,9 +203,10 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     # the bands of one document of each class
     buckets = materialize(
         sketched.join(classes.select("node", "doc_id"), ["node", "doc_id"])
-        .select("node", F.explode("bands").alias("bucket")), "bands")
+        .select(linking.short().alias("id"), F.explode("bands").alias("bucket")), "bands")
     clusters = materialize(linking.candidate_clusters(buckets), "clusters")
-    wanted = clusters.join(classes, "node").select("node", "weight", "doc_id")
+    discard(buckets)
+    wanted = (classes.withColumn("id", linking.short()).join(clusters, "id", "left_semi").select("node", "weight", "doc_id"))
     payload = (_with_words(base.join(wanted, "doc_id"), "node", "weight")
                .mapInArrow(_payload, "node binary, weight long, payload binary"))
     linked = linking.links(clusters, payload, jaccard_links(threshold, tolerance))

@@ -8,8 +8,9 @@ often it votes each way on good and on bad text (Dawid and Skene's model, with
 rules held to be no worse than chance). The posterior probability of good text
 is then a sum of constants picked by the votes, i.e. one SQL expression.
 
-Everything is DataFrame functions; features are computed once, inside the row,
-without a shuffle, and written to shared scratch before the votes are counted.
+Everything is DataFrame functions; features are computed inside the row,
+without a shuffle. Where only counts are asked for they are written to scratch
+once; the filter computes them twice instead of storing the corpus again.
 
 Cases: a null text has no words and fails the base test. Rows that repeat are
 judged alike. Nulls in other columns are kept; a column of the input named
@@ -84,7 +85,9 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
         F.regexp_count(t, F.lit(r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])")).cast("long").alias("n_bare"),
     )
     repeats = F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
-    return df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | repeats)
+    # the second term is never true; as it is not deterministic, filters on base_failed stay above
+    # this projection instead of repeating the features' expressions, lambdas included, below it
+    return df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | repeats | (F.spark_partition_id() < 0))
 
 
 _COUNTS = (*BASE, "n_lines", "n_upper", "n_shouts", "n_stops", "n_bare", "n_stutters")
@@ -179,28 +182,30 @@ def fit(counts: dict[tuple, int], rounds: int = ROUNDS, smoothing: float = SMOOT
     return model
 
 
-def judge(counted: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
-    """Adds quality_posterior and kept to rows that ``with_features`` made
-    (columns that are no longer needed, such as the text, may be dropped
-    before: what is left is written to scratch)."""
+def train(counted: DataFrame) -> VoteModel | None:
+    """Fit on the votes of all rows that pass the base test; None without any."""
     votes = rules()
-    scored = materialize(counted, "quality")
-    patterns = scored.where(~F.col("base_failed")).groupBy(*[v.alias(k) for k, v in votes.items()]).count()
+    patterns = counted.where(~F.col("base_failed")).groupBy(*[v.alias(k) for k, v in votes.items()]).count()
     counts = {tuple(r)[:-1]: r["count"] for r in patterns.collect()}  # at most 3 ** 8 rows
-    if not counts:
-        return scored.withColumn("quality_posterior", F.lit(None).cast("double")).withColumn("kept", F.lit(False))
-    posterior = fit(counts).posterior(list(votes.values()))
-    return (scored.withColumn("quality_posterior", posterior)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("quality_posterior") >= keep_at)))
+    return fit(counts) if counts else None
+
+
+def judge(counted: DataFrame, model: VoteModel | None, keep_at: float = KEEP_AT) -> DataFrame:
+    """Adds quality_posterior and kept to rows that ``with_features`` made."""
+    posterior = F.lit(None).cast("double") if model is None else model.posterior(list(rules().values()))
+    return (counted.withColumn("quality_posterior", posterior)
+            .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("quality_posterior") >= keep_at, F.lit(False))))
 
 
 def kept_documents(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """The rows of ``docs`` that the rules accept, with all their columns."""
+    # counted twice, once to fit and once to filter: no copy of the corpus in scratch
+    model = train(with_features(docs.select("text")))
     whole = docs.select(F.struct("*").alias("row"), "text")
-    return judge(with_features(whole).drop("text"), keep_at).where("kept").select("row.*")
+    return judge(with_features(whole), model, keep_at).where("kept").select("row.*")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    counted = with_features(docs).drop("text")
-    return judge(counted).select("doc_id", *BASE, "base_failed", "kept", "quality_posterior")
+    counted = materialize(with_features(docs).drop("text"), "quality")
+    return judge(counted, train(counted)).select("doc_id", *BASE, "base_failed", "kept", "quality_posterior")
