@@ -7,7 +7,7 @@ pieces are dealt over shards of bounded size by a hash of id and text. Inside
 a shard as many sequences are opened as its tokens fill, and the pieces, in
 descending order, go to the sequence of lowest cost that still has room for
 the whole of them. What fits nowhere whole is cut to fill sequences with room,
-so that only the last sequence of a shard is padded.
+so that all padding of a shard is less than one sequence.
 
 A shard holds about SHARD_TOKENS tokens plus at most one longest document, so
 a task's memory does not grow with the corpus, and padding stays below one
