@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -129,6 +131,25 @@ def test_incremental_equals_full(spark, tmp_dir):
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, full.collect()))
 
 
+def test_incremental_interrupted_before_publish(spark, tmp_dir, monkeypatch):
+    from trendflow.streaming import incremental as inc
+
+    bronze_dir = os.path.join(tmp_dir, "bronze")
+    staging, silver, ckpt = (os.path.join(tmp_dir, x) for x in ("staging", "silver", "ckpt"))
+    land_flat(spark, bronze_dir, quarter=True)
+
+    def stopped(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(inc, "publish", stopped)
+        with pytest.raises(Exception, match="lost driver"):
+            inc.incremental_silver(spark, bronze_dir, staging, silver, ckpt, regions=REGIONS)
+    assert inc.incremental_silver(spark, bronze_dir, staging, silver, ckpt, regions=REGIONS)["batches"] == [0]
+    full = build_silver_statistics(read_bronze_statistics(spark, bronze_dir, "csv", REGIONS))
+    assert spark.read.parquet(silver).count() == full.count()
+
+
 def test_payload_landing_roundtrip(spark, tmp_dir):
     from trendflow.operators.cleanse import flatten_api
     from trendflow.operators.envelope import attach_envelope

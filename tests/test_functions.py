@@ -58,3 +58,11 @@ def test_region_from_path(spark):
 def test_decode_key_plus_and_malformed(spark):
     df = spark.createDataFrame([("a+b%3Dc",), ("bad%ZZ",)], "k string")
     assert [r[0] for r in df.select(decode_key("k")).collect()] == ["a b=c", "bad%ZZ"]
+
+
+def test_exact_avg_of_extreme_ratio(spark):
+    from trendflow.functions.metrics import exact_avg, percent_of_views
+
+    df = spark.createDataFrame([(900_000_000_000_000, 1)], "likes long, views long")
+    row = df.select(percent_of_views(df["likes"], df["views"]).alias("r")).agg(exact_avg("r").alias("m")).first()
+    assert row["m"] == 9e16

@@ -33,7 +33,6 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--regions", help="comma list, or 'all' (default: the Silver regions)")
     run.add_argument("--run-date", help="trending day for API rows (default: ingestion day)")
     run.add_argument("--dq-tables", default=",".join(DEFAULT_DQ_TABLES))
-    run.add_argument("--dq-sample-rows", type=int)
 
     inc = sub.add_parser("incremental", help="new Bronze files -> staging -> Silver")
     inc.add_argument("--bronze-statistics", required=True)
@@ -46,18 +45,17 @@ def main(argv: list[str] | None = None) -> int:
     qc = sub.add_parser("quality", help="quality report over Silver tables")
     qc.add_argument("--silver-root", required=True)
     qc.add_argument("--tables", default=",".join(DEFAULT_DQ_TABLES))
-    qc.add_argument("--sample-rows", type=int)
 
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"trendflow-{args.cmd}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates and stamps do not follow the cluster
 
     if args.cmd == "run":
         from trendflow.plans.orchestrate import Layout, run_all
         layout = Layout(args.bronze_statistics, args.bronze_reference, args.silver_root,
                         args.gold_root)
         res = run_all(spark, layout, fmt=args.format, regions=_regions(args.regions),
-                      run_date=args.run_date, dq_tables=args.dq_tables.split(","),
-                      dq_sample_rows=args.dq_sample_rows)
+                      run_date=args.run_date, dq_tables=args.dq_tables.split(","))
         print(json.dumps({"quality_passed": res.quality_passed, "results": res.quality_results,
                           "silver": res.silver, "reference": res.reference_summary,
                           "gold": res.gold}, default=str))
@@ -66,12 +64,12 @@ def main(argv: list[str] | None = None) -> int:
         from trendflow.streaming.incremental import incremental_silver
         out = incremental_silver(spark, args.bronze_statistics, args.staging, args.silver,
                                  args.checkpoint, fmt=args.format, regions=_regions(args.regions))
-        print(json.dumps(out))
+        print(json.dumps({"partitions": len(out["partitions"]), "batches": out["batches"]}))
         return 0
     from trendflow.operators import quality as dq
     root = args.silver_root.rstrip("/")
     tables = {t: (lambda p=f"{root}/{t}": spark.read.parquet(p)) for t in args.tables.split(",")}
-    report = dq.quality_report(spark, tables, sample_rows=args.sample_rows)
+    report = dq.quality_report(spark, tables)
     rows = [r.asDict(recursive=True) for r in report.collect()]
     ok = all(r["passed"] for r in rows)
     print(json.dumps({"quality_passed": ok, "results": rows}, default=str))

@@ -22,7 +22,7 @@ def _ratio(num: str) -> str:
 
 
 def _exact_avg(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / count({c})"
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,4))) AS DOUBLE) / count({c})"
 
 
 def _parse_date(c: str) -> str:
@@ -274,10 +274,9 @@ SELECT * FROM silver""",
 coerced AS (
   SELECT region, page, pos, title, {_tolong('id')} AS category_id FROM items),
 last_in_doc AS (
-  SELECT * FROM coerced WHERE category_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY region, page, category_id ORDER BY pos DESC) = 1),
-named AS (SELECT * FROM last_in_doc WHERE title IS NOT NULL)
-SELECT category_id, title AS category_name, region FROM named
+  SELECT * FROM coerced WHERE category_id IS NOT NULL AND title IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY region, page, category_id ORDER BY pos DESC) = 1)
+SELECT category_id, title AS category_name, region FROM last_in_doc
 QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY page DESC, pos DESC) = 1""",
 
     "reference_report": f"""WITH {DOCS}

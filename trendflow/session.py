@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return existing
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="trendflow-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

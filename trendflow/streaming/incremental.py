@@ -4,8 +4,8 @@ Only files that arrived since the last run are read (file-source
 checkpoint), with an available-now trigger so the job processes what is
 there and stops. Each micro-batch is cleansed (P1-P10) and staged under
 ``<staging>/region=<xx>/trending_date_parsed=<day>/batch=<id>/``; a replayed
-batch overwrites its own folders only, so it is idempotent. Afterwards
-Silver is rebuilt for the (region, day) pairs that received rows: D1 over
+batch overwrites its own folders only, so it is idempotent. Before the batch
+is committed, Silver is rebuilt for the (region, day) pairs that received rows: D1 over
 *all* staged rows of those pairs (the dedup key contains both, so nothing
 outside them can change), written with dynamic overwrite to the separate
 Silver path, which is partitioned by region and day. A run therefore
@@ -20,7 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,11 +28,8 @@ from trendflow.config import API_PAYLOAD_SCHEMA, FLAT_TEXT_SCHEMA, SILVER_REGION
 from trendflow.operators.cleanse import CLEAN_COLUMNS, cleanse, to_flat, with_audit
 from trendflow.operators.dedup import latest_statistics
 from trendflow.plans.silver import STATS_JOB
-from trendflow.operators.enrich import broadcast_if_bounded
 from trendflow.sinks.parquet import write_table
 
-PUBLISH_BROADCAST_ROWS = 1_000_000
-
 SILVER_PARTITIONS = ("region", "trending_date_parsed")
 STAGING_PARTITIONS = ("region", "trending_date_parsed", "batch")
 
@@ -77,8 +74,11 @@ def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
         try:
             write_table(clean, staging_path, partition_by=STAGING_PARTITIONS)
             # bounded: regions x days present in one micro-batch
-            touched.update((r[0], r[1]) for r in
-                           clean.select(*SILVER_PARTITIONS).distinct().collect())
+            pairs = [(r[0], r[1]) for r in clean.select(*SILVER_PARTITIONS).distinct().collect()]
+            # before the batch is committed: a run that dies here repeats the batch
+            if pairs:
+                publish(spark, staging_path, silver_path, pairs)
+            touched.update(pairs)
             batches.append(batch_id)
         finally:
             clean.unpersist()
@@ -91,11 +91,26 @@ def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
         .start()
     )
     query.awaitTermination()
-    if touched:
-        publish(spark, staging_path, silver_path, sorted(touched, key=repr))
     return {"partitions": sorted(touched, key=repr), "batches": batches}
 
 
+def _in_pairs(pairs: list[tuple]) -> Column:
+    """Literal predicate on the partition columns, so only the named staging
+    folders are listed for the scan (nulls are folders of their own)."""
+    def one_of(name: str, values: set) -> Column:
+        known = sorted(v for v in values if v is not None)
+        cond = F.col(name).isin(known) if known else F.lit(False)
+        return cond | F.col(name).isNull() if None in values else cond
+
+    days: dict = {}
+    for region, day in pairs:
+        days.setdefault(region, set()).add(day)
+    out = F.lit(False)
+    for region, wanted in sorted(days.items(), key=repr):
+        out = out | (one_of("region", {region}) & one_of("trending_date_parsed", wanted))
+    return out
+
+
 def publish(spark: SparkSession, staging_path: str, silver_path: str,
             pairs: list[tuple] | None = None) -> None:
     """D1 over every staged row of the given (region, day) pairs -> Silver
@@ -103,11 +118,7 @@ def publish(spark: SparkSession, staging_path: str, silver_path: str,
     which is also the recovery step after an interrupted run."""
     staged = spark.read.parquet(staging_path)
     if pairs is not None:
-        keys = spark.createDataFrame(pairs, "region string, trending_date_parsed date")
-        cond = [staged[c].eqNullSafe(keys[c]) for c in SILVER_PARTITIONS]
-        # the key list is small (touched regions x days): broadcast semi-join
-        # behind a row-count check, which also prunes unnamed staging folders
-        staged = staged.join(broadcast_if_bounded(keys, PUBLISH_BROADCAST_ROWS), cond, "left_semi")
+        staged = staged.filter(_in_pairs(pairs))
     rows = staged.select(*CLEAN_COLUMNS)
     write_table(latest_statistics(with_audit(rows, STATS_JOB)), silver_path,
                 partition_by=SILVER_PARTITIONS)
