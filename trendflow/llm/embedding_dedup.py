@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendflow.llm import linking
-from trendflow.llm.common import materialize, read_table
+from trendflow.llm.common import discard, materialize, read_table
 
 THRESHOLD = 0.98
 TABLES = 12
@@ -129,8 +129,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, tables: in
         .mapInArrow(_hash_batches(tables, rotations, seed), "node binary, space string, codes array<long>")
         .select("node", "space", F.explode("codes").alias("code"))
         .select(linking.short().alias("id"), F.xxhash64("space", "code").alias("bucket")), "vector-buckets")
-    linked = linking.links(linking.candidate_clusters(buckets), nodes.select("node", "weight", "payload"),
-                           cosine_links(threshold))
+    clusters = linking.candidate_clusters(buckets)
+    linked = linking.links(clusters, nodes.select("node", "weight", "payload"), cosine_links(threshold))
+    discard(buckets, *clusters.held)
     classes = nodes.select("node", "weight").join(linked, "node", "left").select(
         "node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("root", "node").alias("root"))

@@ -34,6 +34,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     large-star and small-star rounds (logarithmically many); each is
     aggregates and equi-joins over edges and is written to shared scratch.
     Self-loops and nulls are ignored; a node without edges is not returned.
+    ``held`` of the result lists the scratch tables that it reads.
     """
     cur = materialize(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -50,7 +51,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     roots = cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return cur.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    out = cur.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+    out.held = [cur]
+    return out
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -82,12 +85,15 @@ def candidate_clusters(buckets: DataFrame) -> DataFrame:
     """(id, cluster) for the ids that share a bucket with another one.
 
     ``buckets``: (id, bucket) of ``short`` ids, materialised, as it is read
-    twice.
+    twice; nothing reads it any more once this returns. ``held`` as above.
     """
     lead = (buckets.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("top"))
             .where(F.col("b") != F.col("top")).select("bucket", "b"))
     star = buckets.join(lead, "bucket").select(F.col("id").alias("a"), "b")
-    return connected_components(star).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
+    comp = connected_components(star)
+    out = comp.select(F.col("node").alias("id"), F.col("root").alias("cluster"))
+    out.held = comp.held
+    return out
 
 
 def blocked(clusters: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -106,7 +112,8 @@ def links(clusters: DataFrame, payload: DataFrame, compare: Compare, block: int
     """(node, n, root): weights linked directly, smallest node reachable.
 
     ``payload``: (node, weight, payload), one row per node (further rows of a
-    node are ignored). Nodes without a link are returned with n = 0.
+    node are ignored). Nodes without a link are returned with n = 0. Nothing
+    reads ``clusters`` any more once this returns. ``held`` as above.
     """
     rows = blocked(clusters, payload, block)
     kind = dict(rows.dtypes)["payload"]
@@ -120,8 +127,10 @@ def links(clusters: DataFrame, payload: DataFrame, compare: Compare, block: int
         .mapInArrow(run, "node binary, n long, root binary"), "links")
     per_node = found.groupBy("node").agg(F.sum("n").alias("n"))
     comp = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    return (per_node.join(comp, "node", "left")
-            .select("node", "n", F.coalesce("root", "node").alias("root")))
+    out = (per_node.join(comp, "node", "left")
+           .select("node", "n", F.coalesce("root", "node").alias("root")))
+    out.held = [found, *comp.held]
+    return out
 
 
 def _groups(batches: Iterator[pa.RecordBatch], binary: bool) -> Iterator[tuple]:

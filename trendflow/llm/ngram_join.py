@@ -204,8 +204,11 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     buckets = materialize(
         sketched.join(classes.select("node", "doc_id"), ["node", "doc_id"])
         .select(linking.short().alias("id"), F.explode("bands").alias("bucket")), "bands")
-    clusters = materialize(linking.candidate_clusters(buckets), "clusters")
-    discard(buckets)
+    ids = materialize(sketched.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")), "ids")
+    discard(sketched)
+    proposed = linking.candidate_clusters(buckets)
+    clusters = materialize(proposed, "clusters")
+    discard(buckets, *proposed.held)
     wanted = (classes.withColumn("id", linking.short()).join(clusters, "id", "left_semi").select("node", "weight", "doc_id"))
     payload = (_with_words(base.join(wanted, "doc_id"), "node", "weight")
                .mapInArrow(_payload, "node binary, weight long, payload binary"))
@@ -214,10 +217,10 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
         classes.join(linked, "node", "left").select(
             "node", "doc_id", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
             F.coalesce("root", "node").alias("root")), "class-links")
+    discard(classes, clusters, *linked.held)
     lowest = per_class.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     per_class = per_class.join(lowest, "root").select("node", "n_links", "class_id")
-    return (sketched.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
-            .join(per_class, "node", "left")
+    return (ids.join(per_class, "node", "left")
             .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
