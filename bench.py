@@ -24,6 +24,7 @@ from trendflow import catalog  # noqa: E402
 from trendflow.operators.ranking import release_cached  # noqa: E402
 from trendflow.plans.orchestrate import Layout, run_all  # noqa: E402
 from trendflow.session import local_session, scratch_path  # noqa: E402
+from trendflow.sources.tables import SPREAD  # noqa: E402
 from trendflow.sinks.parquet import land_reference  # noqa: E402
 from trendflow.sources import tables as src  # noqa: E402
 
@@ -65,6 +66,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus, shuffle_partitions=cpus, app="trendflow-bench")
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 * 1024 * 1024))
+    spark.conf.set(SPREAD, str(cpus))  # each test file is a single row group
 
     jobs = {name: (lambda q=q: noop(q(spark, sf_dir))) for name, q in HEADLINE.items()}
     layout = land_bronze(spark, sf_dir, scratch_path(spark, "bench"))

@@ -49,9 +49,7 @@ def main() -> None:
              "separate distinct branch, one regroup (`Union`) over aggregated rows.\n"
              "* W2: `rangepartitioning(region, total_views, channel_title)` (a region spread over "
              "all tasks) and the offsets table joined by broadcast; top-k uses `WindowGroupLimit`.\n"
-             "* The `RoundRobinPartitioning` exchange after the lineitem scan is the under-split "
-             "spreading of `fact_table` (each test file is a single row group); a cluster-scale scan "
-             "has no such exchange.\n"]
+             ]
     for name in QUERIES:
         df = catalog.QUERIES[name](spark, sf_dir)
         initial = df._jdf.queryExecution().executedPlan().toString()

@@ -51,10 +51,7 @@ def q_region_prune_scan(spark, sf_dir):
 def q_flat_cast(spark, sf_dir):
     """P4 + P5 + P6-P10 on raw CSV-shaped text."""
     typed = cast_flat(src.flat_bronze_view(spark, sf_dir))
-    return cleanse(typed).select(
-        "video_id", "trending_date", "trending_date_parsed", "title", "category_id", "views",
-        "likes", "dislikes", "comment_count", "comments_disabled", "ratings_disabled",
-        "video_error_or_removed", "region", "like_ratio", "engagement_rate")
+    return cleanse(typed).select(*[c for c in CLEAN_COLUMNS if c != "_ingested_at"])
 
 
 def q_nested_flatten(spark, sf_dir):
@@ -93,15 +90,22 @@ def q_dedup_latest(spark, sf_dir):
 
 
 def q_reference_explode(spark, sf_dir):
-    """S4 + P13-P17 + D4 + D2: category documents -> reference rows."""
-    return reference_rows(src.category_documents_view(spark, sf_dir),
-                          document_cols=["region", "page"]).select(
+    """S4 + P13-P17 + D4 + D2: category documents -> reference rows; documents
+    of lower page numbers are delivered later."""
+    docs = src.category_documents_view(spark, sf_dir)
+    docs = docs.withColumn("_delivered_at", F.timestamp_seconds(-F.col("page")))
+    return reference_rows(docs, document_cols=["region", "page"]).select(
         "category_id", "category_name", "region")
 
 
 def q_reference_report(spark, sf_dir):
-    """M2 + P18: per-document item counts and errors of the reference lane."""
-    return document_report(src.category_documents_view(spark, sf_dir), ["region", "page"])
+    """M2 + P18: per-document item counts and errors of the reference lane, with
+    unreadable and empty documents among them."""
+    docs = src.category_documents_view(spark, sf_dir)
+    kind = F.col("page") % 3
+    docs = (docs.withColumn("_corrupt_record", F.when(kind == 1, "{"))
+            .withColumn("items", F.when(kind == 2, F.slice("items", 1, 0)).otherwise(F.col("items"))))
+    return document_report(docs, ["region", "page"])
 
 
 def q_category_lookup_join(spark, sf_dir):

@@ -88,7 +88,8 @@ def flatten_api(df: DataFrame, run_date: _dt.date | str | None = None) -> DataFr
         day = F.lit(str(run_date)).cast("date")
     else:
         stamp = field_or(df, "_pipeline_metadata.ingestion_timestamp")
-        day = F.coalesce(F.try_to_date(F.substring(stamp.cast("string"), 1, 10)), F.current_date())
+        text = stamp.cast("string")  # a stamp with an offset counts by its UTC day (session time zone)
+        day = F.coalesce(F.to_date(text.try_cast("timestamp")), F.try_to_date(F.substring(text, 1, 10)), F.current_date())
     tags = field_or(df, "snippet.tags")
     tags_type = _tags_type(df)
     if isinstance(tags_type, T.ArrayType):

@@ -44,7 +44,7 @@ STATS = """stats AS (
   SELECT CAST(l_partkey AS VARCHAR) AS video_id,
          CAST(l_shipdate AS DATE) AS trending_date_parsed,
          p_name AS title, s_name AS channel_title,
-         CAST(s_nationkey AS BIGINT) AS category_id,
+         CAST(CASE WHEN l_orderkey % 103 = 0 THEN 99 ELSE s_nationkey END AS BIGINT) AS category_id,
          CAST(floor(l_extendedprice) AS BIGINT) AS views,
          CAST(floor(l_quantity * 100) AS BIGINT) AS likes,
          CAST(round(l_discount * 100) AS BIGINT) AS dislikes,
@@ -87,8 +87,7 @@ silver AS (
 LOOKUP = """lookup AS (
   SELECT CAST(n_nationkey AS BIGINT) AS category_id, n_name AS category_name,
          lower(r_name) AS region
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey NOT IN (23, 24)),
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
 lk AS (
   SELECT category_id, region, max(category_name) AS category_name
   FROM lookup GROUP BY category_id, region)"""
@@ -219,10 +218,7 @@ SELECT video_id, region, trending_date_parsed, views FROM stats
 WHERE region IN ('america', 'asia', 'europe')""",
 
     "flat_cast": f"""WITH {FACTS}, {FLAT}, {TYPED}
-SELECT video_id, trending_date, trending_date_parsed, title, category_id, views, likes, dislikes,
-       comment_count, comments_disabled, ratings_disabled, video_error_or_removed, region,
-       like_ratio, engagement_rate
-FROM cleansed""",
+SELECT * FROM cleansed""",
 
     "silver_statistics": f"""WITH {FACTS}, {FLAT}, {TYPED}
 SELECT * FROM cleansed
@@ -277,10 +273,12 @@ last_in_doc AS (
   SELECT * FROM coerced WHERE category_id IS NOT NULL AND title IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY region, page, category_id ORDER BY pos DESC) = 1)
 SELECT category_id, title AS category_name, region FROM last_in_doc
-QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY page DESC, pos DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY page ASC, pos DESC) = 1""",
 
     "reference_report": f"""WITH {DOCS}
-SELECT region, page, count(*) AS items, CAST(NULL AS VARCHAR) AS error
+SELECT region, page, CASE WHEN page % 3 = 0 THEN count(*) ELSE 0 END AS items,
+       CASE page % 3 WHEN 1 THEN 'unreadable JSON document'
+                     WHEN 2 THEN 'no category items' END AS error
 FROM items GROUP BY region, page""",
 
     "category_lookup_join": f"""WITH {GOLD_IN}

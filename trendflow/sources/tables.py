@@ -21,40 +21,26 @@ from pyspark.sql import functions as F
 from trendflow.config import MAX_ITEMS_PER_PAGE
 
 
-# The driver's tables are read-only, so an opened table (file listing and
-# footer schema) is reused by every query of the same session.
-_OPENED: dict[tuple, DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> tuple:
-    # a new SparkContext or session never reuses an entry of a stopped one
-    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), id(spark))
+#: Session setting: number of tasks over which fact tables are spread.
+SPREAD = "spark.trendflow.spreadTasks"
+#: A category id that no lookup entry has.
+UNLISTED_CATEGORY = 99
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (*_session_key(spark), path)
-    if key not in _OPENED:
-        _OPENED[key] = spark.read.parquet(path)
-    return _OPENED[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fact table spread over at least ``spark.default.parallelism`` tasks.
+    """A fact table, one task per file split.
 
-    A large scan already has one task per file split and is returned as is.
-    A file stored as a single Parquet row group cannot be split, so all the
-    work before the first shuffle would run in one task; only then the rows
-    are redistributed (round-robin) across the available cores.
+    A file stored as a single Parquet row group cannot be split. Local runs
+    over such files (tests, bench) may set ``SPREAD`` to a number of tasks, to
+    which the rows are then dealt round-robin; a cluster leaves it unset.
     """
-    key = (*_session_key(spark), f"{sf_dir.rstrip('/')}/{name}.parquet#spread")
-    if key not in _OPENED:
-        df = table(spark, sf_dir, name)
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-        _OPENED[key] = df
-    return _OPENED[key]
+    df = table(spark, sf_dir, name)
+    tasks = spark.conf.get(SPREAD, None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,13 +65,15 @@ def _lineitem_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def statistics_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed statistics rows (Silver input shape, before metrics)."""
+    """Typed statistics rows (Silver input shape, before metrics); by a fixed
+    rule on the order key some rows have a category without an entry."""
+    category = F.when(F.col("l_orderkey") % 103 == 0, UNLISTED_CATEGORY).otherwise(F.col("s_nationkey"))
     return _lineitem_facts(spark, sf_dir).select(
         F.col("l_partkey").cast("string").alias("video_id"),
         F.col("l_shipdate").cast("date").alias("trending_date_parsed"),
         F.col("p_name").alias("title"),
         F.col("s_name").alias("channel_title"),
-        F.col("s_nationkey").cast("bigint").alias("category_id"),
+        category.cast("bigint").alias("category_id"),
         F.floor("l_extendedprice").cast("bigint").alias("views"),
         F.floor(F.col("l_quantity") * 100).cast("bigint").alias("likes"),
         F.round(F.col("l_discount") * 100).cast("bigint").alias("dislikes"),
@@ -201,14 +189,9 @@ def api_payload_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def category_lookup_view(spark: SparkSession, sf_dir: str,
-                         exclude_ids: tuple[int, ...] = (23, 24)) -> DataFrame:
-    """Reference rows (category_id, category_name, region) from nation/region;
-    the excluded ids leave some statistics rows without a category."""
-    geo = _geo(spark, sf_dir)
-    if exclude_ids:
-        geo = geo.filter(~F.col("n_nationkey").isin(list(exclude_ids)))
-    return geo.select(
+def category_lookup_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference rows (category_id, category_name, region) from nation/region."""
+    return _geo(spark, sf_dir).select(
         F.col("n_nationkey").cast("bigint").alias("category_id"),
         F.col("n_name").alias("category_name"),
         F.lower("r_name").alias("region"),
