@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from trendflow.llm import mixing, ngram_join, packing, quality_rules, secret_scan
-from trendflow.llm.common import materialize, read_table
+from trendflow.llm.common import discard, materialize, read_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, read = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        discard(*read)  # what the stage read: its output is whole on shared storage
+        read = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
