@@ -29,7 +29,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--bronze-reference", required=True)
     run.add_argument("--silver-root", required=True)
     run.add_argument("--gold-root", required=True)
-    run.add_argument("--format", choices=["csv", "json"], default="csv")
+    run.add_argument("--format", choices=["csv", "json", "mixed"], default="csv")
+    run.add_argument("--json-lines", action="store_true", help="API files hold one document a line")
     run.add_argument("--regions", help="comma list, or 'all' (default: the Silver regions)")
     run.add_argument("--run-date", help="trending day for API rows (default: ingestion day)")
     run.add_argument("--dq-tables", default=",".join(DEFAULT_DQ_TABLES))
@@ -55,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
         layout = Layout(args.bronze_statistics, args.bronze_reference, args.silver_root,
                         args.gold_root)
         res = run_all(spark, layout, fmt=args.format, regions=_regions(args.regions),
-                      run_date=args.run_date, dq_tables=args.dq_tables.split(","))
+                      run_date=args.run_date, dq_tables=args.dq_tables.split(","),
+                      multi_line=not args.json_lines)
         print(json.dumps({"quality_passed": res.quality_passed, "results": res.quality_results,
                           "silver": res.silver, "reference": res.reference_summary,
                           "gold": res.gold}, default=str))

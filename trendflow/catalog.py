@@ -21,7 +21,10 @@ from trendflow.operators.enrich import (
 from trendflow.operators.envelope import attach_envelope
 from trendflow.operators.reference import document_report, reference_rows
 from trendflow.operators.cleanse import CLEAN_COLUMNS
+from trendflow.plans.orchestrate import Layout, run_all
 from trendflow.plans.silver import build_silver_statistics
+from trendflow.session import scratch_path
+from trendflow.sinks.parquet import land_reference
 from trendflow.sources import tables as src
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,6 +192,35 @@ def q_region_from_path(spark, sf_dir):
                        region_from_path("object_key").alias("region"))
 
 
+def q_pipeline_end_to_end(spark, sf_dir):
+    """O1: CSV of the even orders and API documents of the odd ones land under
+    one Bronze prefix in shared scratch; both lanes, the quality gate and Gold
+    run over it. Returns the stored Gold category table. Runs its jobs when
+    called, as it writes tables.
+    """
+    root = scratch_path(spark, "end-to-end")
+    layout = Layout(f"{root}/bronze/statistics", f"{root}/bronze/reference", f"{root}/silver", f"{root}/gold")
+    even = F.col("l_orderkey") % 2 == 0
+    region = F.upper(F.trim("region"))
+    # a key's rows share a file, hence a delivery time
+    flat = src.flat_bronze_view(spark, sf_dir, keep=even).withColumn("region", region)
+    (flat.repartition("region", "video_id", "trending_date").write.option("header", True)
+     .option("escape", '"').partitionBy("region").csv(layout.bronze_statistics))
+    api = src.api_payload_view(spark, sf_dir, keep=~even)
+    (api.select("items", "_pipeline_metadata", F.upper("_pipeline_metadata.region").alias("region"),
+                F.lit("2024-01-01").alias("date"), F.lit("03").alias("hour"))
+     .write.mode("append").partitionBy("region", "date", "hour").json(layout.bronze_statistics))
+    item = F.struct(F.col("category_id").cast("string").alias("id"),
+                    F.struct(F.col("category_name").alias("title")).alias("snippet"))
+    # one document per region, of the few nations that it has
+    land_reference(src.category_lookup_view(spark, sf_dir).groupBy(F.upper("region").alias("region"))
+                   .agg(F.collect_list(item).alias("items")), layout.bronze_reference)
+    result = run_all(spark, layout, fmt="mixed", regions=None, multi_line=False)
+    if result.gold is None:
+        raise RuntimeError(f"quality gate: {result.quality_results}")
+    return spark.read.parquet(f"{layout.gold_root}/category_analytics").drop("_aggregated_at")
+
+
 QUERIES: dict[str, Query] = {
     "region_prune_scan": q_region_prune_scan,
     "flat_cast": q_flat_cast,
@@ -210,4 +242,5 @@ QUERIES: dict[str, Query] = {
     "dq_verdict": q_dq_verdict,
     "payload_envelope": q_payload_envelope,
     "region_from_path": q_region_from_path,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
 }

@@ -121,6 +121,19 @@ ranked AS (
            AS rank_in_region
   FROM ch)"""
 
+CATEGORIES = f"""ca AS (
+  SELECT category_name, category_id, region, trending_date_parsed,
+         count(video_id) AS video_count,
+         CAST(sum(views) AS BIGINT) AS total_views,
+         CAST(sum(likes) AS BIGINT) AS total_likes,
+         CAST(sum(comment_count) AS BIGINT) AS total_comments,
+         {_exact_avg('engagement_rate')} AS avg_engagement_rate,
+         count(DISTINCT channel_title) AS unique_channels
+  FROM gold_in GROUP BY category_name, category_id, region, trending_date_parsed)
+SELECT *, round(total_views / sum(total_views) OVER (PARTITION BY region, trending_date_parsed) * 100, 2)
+       AS view_share_pct
+FROM ca"""
+
 FLAT = """flat AS (
   SELECT CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS video_id,
          CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS trending_date,
@@ -311,18 +324,7 @@ SELECT * FROM ranked""",
 SELECT region, channel_title, total_views, rank_in_region FROM ranked WHERE rank_in_region <= 10""",
 
     "category_analytics": f"""WITH {GOLD_IN},
-ca AS (
-  SELECT category_name, category_id, region, trending_date_parsed,
-         count(video_id) AS video_count,
-         CAST(sum(views) AS BIGINT) AS total_views,
-         CAST(sum(likes) AS BIGINT) AS total_likes,
-         CAST(sum(comment_count) AS BIGINT) AS total_comments,
-         {_exact_avg('engagement_rate')} AS avg_engagement_rate,
-         count(DISTINCT channel_title) AS unique_channels
-  FROM gold_in GROUP BY category_name, category_id, region, trending_date_parsed)
-SELECT *, round(total_views / sum(total_views) OVER (PARTITION BY region, trending_date_parsed) * 100, 2)
-       AS view_share_pct
-FROM ca""",
+{CATEGORIES}""",
 
     "dq_inflight": f"""WITH {FACTS}, {GAPS}
 SELECT CAST(count_if(video_id IS NULL) AS BIGINT) AS null_video_id, CAST(count_if(title IS NULL) AS BIGINT) AS null_title,
@@ -361,4 +363,32 @@ SELECT s_suppkey, object_key, url_decode(object_key) AS decoded_key,
        coalesce(nullif(lower(regexp_extract(url_decode(object_key), '(?:^|/)region=([^/=]*)', 1)), ''),
                 'unknown') AS region
 FROM k""",
+
+    "pipeline_end_to_end": f"""WITH {FACTS.replace('facts AS', 'all_facts AS', 1)},
+facts AS (SELECT * FROM all_facts WHERE l_orderkey % 2 = 0), {FLAT}, {TYPED},
+api AS (
+  SELECT CAST(l_partkey AS VARCHAR) AS video_id, p_name AS title, s_name AS channel_title,
+         CAST(s_nationkey AS BIGINT) AS category_id, CAST(floor(l_extendedprice) AS BIGINT) AS views,
+         CAST(floor(l_quantity * 100) AS BIGINT) AS likes,
+         CASE WHEN l_linenumber % 4 = 0 THEN 0 ELSE CAST(round(l_discount * 100) AS BIGINT) END AS dislikes,
+         CAST(round(l_tax * 100) AS BIGINT) AS comment_count, lower(r_name) AS region,
+         CAST(l_shipdate AS DATE) AS trending_date_parsed
+  FROM all_facts WHERE l_orderkey % 2 = 1),
+both_formats AS (
+  SELECT 1 AS delivered, video_id, title, channel_title, category_id, views, likes, dislikes,
+         comment_count, region, trending_date_parsed, engagement_rate FROM cleansed
+  UNION ALL
+  SELECT 0, video_id, title, channel_title, category_id, views, likes, dislikes,
+         comment_count, region, trending_date_parsed, {_ratio('likes + dislikes + comment_count')} FROM api),
+silver AS (
+  SELECT * FROM both_formats
+  QUALIFY row_number() OVER (
+    PARTITION BY video_id, region, trending_date_parsed
+    ORDER BY delivered DESC, views DESC, likes DESC, dislikes DESC, comment_count DESC,
+             title ASC NULLS FIRST, channel_title ASC NULLS FIRST, category_id ASC NULLS FIRST) = 1),
+{LOOKUP},
+gold_in AS (
+  SELECT s.*, coalesce(lk.category_name, 'Unknown') AS category_name
+  FROM silver s LEFT JOIN lk ON s.category_id = lk.category_id AND s.region = lk.region),
+{CATEGORIES}""",
 }

@@ -108,15 +108,18 @@ def statistics_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flat_bronze_view(spark: SparkSession, sf_dir: str, keep: Column | None = None) -> DataFrame:
     """Statistics rows as raw CSV text (every column a string), with junk
     values injected by a fixed rule: null ids, non-numeric and fractional
-    counts, unknown flags, padded upper-case regions. All rows are kept."""
+    counts, unknown flags, padded upper-case regions. All rows are kept, or
+    those of the line items for which ``keep`` holds (a delivery)."""
     ok = F.col("l_orderkey")
     ln = F.col("l_linenumber")
     views = F.floor("l_extendedprice").cast("bigint").cast("string")
     flag = F.when(ln == 1, F.lit("true")).when(ln == 2, F.lit("maybe")).otherwise(F.lit("false"))
-    return _lineitem_facts(spark, sf_dir).select(
+    facts = _lineitem_facts(spark, sf_dir)
+    facts = facts if keep is None else facts.where(keep)
+    return facts.select(
         F.when(ok % 101 == 0, F.lit(None)).otherwise(F.col("l_partkey").cast("string")).alias("video_id"),
         F.col("l_shipdate").cast("date").cast("string").alias("trending_date"),
         F.col("p_name").alias("title"),
@@ -142,12 +145,13 @@ def flat_bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def api_payload_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_payload_view(spark: SparkSession, sf_dir: str, keep: Column | None = None) -> DataFrame:
     """API-shaped payload documents: one document per order, whose line
     items are the videos (an order has a bounded number of lines, like an
     API page). Counts are text, as the API returns them; every fourth line
-    lacks its dislike count, like videos with hidden ratings."""
+    lacks its dislike count, like videos with hidden ratings. ``keep`` as above."""
     facts = _lineitem_facts(spark, sf_dir)
+    facts = facts if keep is None else facts.where(keep)
     item = F.struct(
         F.col("l_partkey").cast("string").alias("id"),
         F.struct(
