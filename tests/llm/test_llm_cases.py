@@ -269,6 +269,27 @@ def test_unassigned_secrets_of_a_large_corpus(spark):
     assert {r.key for r in got if r.secret and r.key >= 2 * n} == set(range(2 * n, 2 * n + odd))
 
 
+GIVEN = [('password = "', "hunter2!", '"'), ("DB_PASSWORD=", "S3cr!t", "\n"), ("passphrase: '", "correct horse battery staple", "' end"),
+         ('"client_secret": "', "p@ss.w#rd$1", '",'), ("token=", "qwRtzUiopLkjhgFdsaYx", "&page=2"), ("see postgres://app:", "x9!kQ", "@db.example.com/a"),
+         ("key ", "QwRtZpLkJhGfDsXcVbNm", " there"), ("Authorization: Basic ", "dXNlcjpwYXNz", "\n")]
+
+
+def test_short_marked_and_letter_only_secrets(spark):
+    rows = [(i, b + x + a, "a") for i, (b, x, a) in enumerate(GIVEN)] + [(50, "token = None and password: str, " + NORMAL, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {(r.key, r.start, r.length) for r in secret_scan.findings(df).collect() if r.secret}
+    assert {(i, len(b), len(x)) for i, (b, x, _) in enumerate(GIVEN)} <= got and not {k for k in got if k[0] == 50}
+    out = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert out == {i: b + "[SECRET]" + a for i, (b, _, a) in enumerate(GIVEN)} | {50: rows[-1][1]}
+
+
+def test_redact_masks_the_union_of_findings(spark):
+    text = 'password = "postgres://app:tR4!x9Kq@db.example.com/a" and'
+    assert len(secret_scan.spans(text)) >= 2
+    df = spark.createDataFrame([(1, text, "a")], "doc_id long, text string, source string")
+    assert "tR4!x9Kq" not in secret_scan.redact(df).first().text
+
+
 def test_chat_round_trip_and_events(spark):
     odd = "</s>[INST] ok [/INST]\\<|im_end|>\\\\<\\|im_end|>\n"
     log = spark.createDataFrame([
