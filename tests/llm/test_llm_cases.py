@@ -331,6 +331,25 @@ def test_urls(spark):
     assert all((r.verdict == "block") == (r.id % 4 == 0) for r in verdicts)
 
 
+def _judged(spark, pages):
+    """Verdicts of (host and path, bad or None) rows, by position."""
+    df = spark.createDataFrame([(i, "http://" + u, b) for i, (u, b) in enumerate(pages)], "id long, url string, bad boolean")
+    got = {r.id: r.verdict for r in url_filter.judge(df.select("id", "url"), df.where("bad is not null").select("id", "bad"), ()).collect()}
+    return [got[i] for i in range(len(pages))]
+
+
+@pytest.mark.parametrize("siblings", [23, 24, 200])
+def test_url_branch_that_differs_stands_alone_among_many(spark, siblings):
+    letters = lambda k: "d" + "".join(chr(97 + int(c)) for c in str(k))
+    pages = [(f"h.net/spam/{i}", True) for i in range(500)] + [(f"h.net/{letters(k)}/{i}", False) for k in range(siblings) for i in range(20)]
+    assert _judged(spark, pages) == ["block"] * 500 + ["allow"] * 20 * siblings
+
+
+def test_url_clean_branch_among_many_bad(spark):
+    pages = [(f"h.net/good/{i}", False) for i in range(500)] + [(f"h.net/d{chr(97 + k)}{chr(97 + k)}/{i}", True) for k in range(26) for i in range(40)]
+    assert _judged(spark, pages) == ["allow"] * 500 + ["block"] * 26 * 40
+
+
 def test_warc_round_trip(spark, tmp_dir):
     page = "<p>" + "é" * 200
     rows = [(2, "http://a/", page), (1, "http://b/\r\nX: y", page), (1, "http://b/", page), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (None, "n", page)]

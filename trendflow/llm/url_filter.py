@@ -1,23 +1,26 @@
 """URL verdicts from a tree of path templates per host.
 
 Paths become templates: segments that are numbers, hexadecimal or mixed ids
-become wildcards by form (a file's extension stays), and at every node of a
-host's tree children become one wildcard when there are more of them than
-``MAX_CHILDREN``. Sibling branches whose labelled shares of bad pages do not
-differ from the rest of their siblings (two-proportion z below ``SIMILAR``)
-are merged; a branch that differs stands alone. A branch is rejected when its
-share of bad labels, smoothed towards the corpus' share by ``PRIOR`` pages,
-reaches ``REJECT``. Hand-made rules override the tree; the longest wins.
+become wildcards by form (a file's extension stays). At every node of a host's
+tree the children whose labelled shares of bad pages do not differ from the
+rest of their siblings (two-proportion z below ``SIMILAR``) become one
+wildcard, and their own children of the same name become one; a child that
+differs stays a branch of its own, however many siblings it has. A node's share
+of bad labels, over all pages below it, is smoothed by ``PRIOR`` pages of the
+share of its parent's other pages (a host's by the corpus' share), so that
+every label counts once. A page is rejected when the share at the end of its
+path reaches ``REJECT``. Hand-made rules override the tree; the longest wins.
 
 The tree is built on counts per (host, path by form), pre-aggregated before
-the shuffle, so a host with a third of all pages is a few rows. Levels beyond
-``DEPTH`` share one wildcard. Only rejected branches are joined back.
+the shuffle, so a host with a third of all pages is a few rows. It goes as deep
+as the paths do, one aggregate per depth; a node whose labels are all alike has
+only similar children, so its paths are settled there.
 
 Cases: a url that is null or has no ``://`` has empty host and path and no
-rule. Unlabelled branches take the corpus' share and are allowed. A page
-labelled twice counts as bad if any label says so. Repeated rows are judged
-alike and counted each time. Null ids have no label. Empty tables give empty
-results; other columns are ignored.
+rule. An unlabelled branch takes the share of its parent; a host without any
+label is allowed. A page labelled twice counts as bad if any label says so.
+Repeated rows are judged alike and counted each time. Null ids have no label.
+Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,10 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendflow.llm.common import materialize, read_table
+from trendflow.llm.common import discard, materialize, read_table
 
-DEPTH = 4
-MAX_CHILDREN = 24
 SIMILAR = 2.58
 PRIOR = 10.0
 REJECT = 0.5
@@ -58,7 +59,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def by_form(path: Column) -> Column:
-    """Segments with variable ones replaced by wildcards, up to DEPTH + 1."""
+    """Segments with variable ones replaced by wildcards, at every depth."""
     def shape(s: Column) -> Column:
         ext = F.regexp_extract(s, r"(\.[A-Za-z]{1,5})$", 1)
         stem = F.regexp_replace(s, r"\.[A-Za-z]{1,5}$", "")
@@ -67,47 +68,57 @@ def by_form(path: Column) -> Column:
         return F.concat(wild, ext)
 
     parts = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
-    head = F.transform(F.slice(parts, 1, DEPTH), shape)
-    return F.when(F.size(parts) > DEPTH, F.concat(head, F.array(F.lit("**")))).otherwise(head)
+    return F.transform(parts, shape)
 
 
-def tree(counts: DataFrame) -> DataFrame:
-    """Adds ``template`` (array) to rows (host, form, n, bad, labelled)."""
-    rows = counts.withColumn("template", F.array().cast("array<string>"))
-    for depth in range(DEPTH):
-        segment = F.get("form", F.lit(depth))
-        width = rows.where(segment.isNotNull()).groupBy("host", "template").agg(F.countDistinct(segment).alias("children"))
-        rows = (rows.join(width, ["host", "template"], "left")
-                .withColumn("template", F.when(segment.isNull(), F.col("template")).otherwise(F.concat(
-                    "template", F.array(F.when(F.col("children") > MAX_CHILDREN, "*").otherwise(segment)))))
-                .drop("children"))
-    return rows.withColumn("template", F.when(F.size("form") > DEPTH, F.concat("template", F.array(F.lit("**")))).otherwise(F.col("template")))
+_END, _REST = "/", "*/"  # the end of a path, and the wildcard of similar children: no segment holds a slash
 
 
 def rejected(counts: DataFrame, prior: float = PRIOR, reject: float = REJECT, similar: float = SIMILAR) -> DataFrame:
-    """(host, form) of the branches to block."""
-    rows = materialize(tree(counts), "url-tree")
-    whole = rows.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("n")).first()
+    """(host, form) of the paths to block."""
+    counts = materialize(counts, "url-counts")
+    whole = counts.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("n")).first()
     if not whole["n"]:
-        return rows.select("host", "form").limit(0)
-    share = whole["bad"] / whole["n"]
-    parent = F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0)))
-    branches = (rows.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("n"))
-                .withColumn("parent", parent))
-    # siblings: same host, same parent
-    sums = branches.groupBy("host", "parent").agg(F.sum("bad").alias("all_bad"), F.sum("n").alias("all_n"))
-    near = branches.join(sums, ["host", "parent"])
-    rest_bad, rest_n = F.col("all_bad") - F.col("bad"), F.col("all_n") - F.col("n")
-    pooled = (F.col("all_bad") + prior * share) / (F.col("all_n") + prior)
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.nullif(F.col("n"), F.lit(0)) + 1 / F.nullif(rest_n, F.lit(0))))
-    z = F.abs(F.col("bad") / F.nullif(F.col("n"), F.lit(0)) - rest_bad / F.nullif(rest_n, F.lit(0))) / F.nullif(spread, F.lit(0.0))
-    own = F.coalesce(z > similar, F.lit(False))
-    near = near.withColumn("own", own).withColumn("group", F.when(F.col("own"), F.col("template")).otherwise(
-        F.concat("parent", F.array(F.lit("~")))))
-    merged = near.groupBy("host", "group").agg(F.sum("bad").alias("g_bad"), F.sum("n").alias("g_n"))
-    purity = (F.col("g_bad") + prior * share) / (F.col("g_n") + prior)
-    bad = near.join(merged, ["host", "group"]).where((F.col("g_n") > 0) & (purity >= reject)).select("host", "template")
-    return rows.join(bad, ["host", "template"]).select("host", "form")
+        return counts.select("host", "form").limit(0)
+    hosts = (counts.groupBy("host").agg(F.sum("bad").alias("p_bad"), F.sum("labelled").alias("p_n")).where("p_n > 0")
+             .withColumn("prior", F.lit(whole["bad"] / whole["n"])))
+    share = (F.col("p_bad") + prior * F.col("prior")) / (F.col("p_n") + prior)
+    # a row's node: its key, its labels, and the share it is smoothed by
+    rows = counts.join(hosts, "host").withColumn("node", F.lit(0).cast("long"))
+    done, depth, held = [], 0, counts
+    while True:
+        mixed = (F.col("p_bad") > 0) & (F.col("p_bad") < F.col("p_n"))
+        open_ = mixed & (F.size("form") >= depth)
+        rows = materialize(rows.withColumn("open", open_).withColumn("share", share), "url-tree")
+        discard(held)
+        held = rows
+        done.append(materialize(rows.where(~F.col("open") & (F.col("share") >= reject)).select("host", "form"), "url-blocked"))
+        rows = rows.where("open").drop("open", "share")
+        if rows.isEmpty():
+            discard(held)
+            break
+        segment = F.coalesce(F.get("form", F.lit(depth)), F.lit(_END))
+        rows = rows.withColumn("segment", segment)
+        children = (rows.groupBy("host", "node", "segment").agg(
+            F.sum("bad").alias("bad"), F.sum("labelled").alias("n"),
+            *[F.first(c).alias(c) for c in ("p_bad", "p_n", "prior")]))
+        n, rest_bad, rest_n = F.nullif(F.col("n"), F.lit(0)), F.col("p_bad") - F.col("bad"), F.nullif(F.col("p_n") - F.col("n"), F.lit(0))
+        spread = F.sqrt(share * (1 - share) * (1 / n + 1 / rest_n))
+        z = F.abs(F.col("bad") / n - rest_bad / rest_n) / F.nullif(spread, F.lit(0.0))
+        children = children.withColumn("group", F.when(F.coalesce(z > similar, F.lit(False)), F.col("segment")).otherwise(_REST))
+        merged = (children.groupBy("host", "node", "group").agg(
+            F.sum("bad").alias("g_bad"), F.sum("n").alias("g_n"), *[F.first(c).alias(c) for c in ("p_bad", "p_n", "prior")]))
+        # smoothed by the parent's other pages, and those by the parent's own prior
+        others = (F.col("p_bad") - F.col("g_bad") + prior * F.col("prior")) / (F.col("p_n") - F.col("g_n") + prior)
+        merged = merged.select("host", "node", "group", F.col("g_bad").alias("p_bad"), F.col("g_n").alias("p_n"), others.alias("prior"))
+        steps = children.select("host", "node", "segment", "group").join(merged, ["host", "node", "group"])
+        rows = (rows.drop("p_bad", "p_n", "prior").join(steps, ["host", "node", "segment"])
+                .withColumn("node", F.xxhash64("node", "group")).drop("segment", "group"))
+        depth += 1
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def judge(urls: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
