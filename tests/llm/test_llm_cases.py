@@ -350,6 +350,22 @@ def test_url_clean_branch_among_many_bad(spark):
     assert _judged(spark, pages) == ["allow"] * 500 + ["block"] * 26 * 40
 
 
+def test_url_counts_are_pooled_up_the_tree(spark):
+    bad = [(f"bad.net/{chr(97 + k)}x/{i}", True) for k in range(20) for i in range(5)]
+    rest = [(f"fine.net/{i}", False) for i in range(400)]
+    assert _judged(spark, bad + rest + [("bad.net/zz/1", None), ("none.net/a", None)]) == ["block"] * 100 + ["allow"] * 400 + ["block", "allow"]
+    # a few labels in many similar languages, and all labels once on a chain of single children
+    spread = [(f"l.net/{chr(97 + k)}l/spam/{i}", True) for k in range(20) for i in range(3)]
+    spread += [(f"l.net/{chr(97 + k)}l/news/{i}", False) for k in range(20) for i in range(12)]
+    few = [(f"few.net/a/b/c/d/e/f/g/{i}", True) for i in range(3)]
+    assert _judged(spark, spread + few + rest) == ["block"] * 60 + ["allow"] * (240 + 3 + 400)
+
+
+def test_url_tree_goes_as_deep_as_the_paths(spark):
+    pages = [(f"h.net/a/b/c/d/e/bad/{i}", True) for i in range(50)] + [(f"h.net/a/b/c/d/e/good/{i}", False) for i in range(50)]
+    assert _judged(spark, pages) == ["block"] * 50 + ["allow"] * 50
+
+
 def test_warc_round_trip(spark, tmp_dir):
     page = "<p>" + "é" * 200
     rows = [(2, "http://a/", page), (1, "http://b/\r\nX: y", page), (1, "http://b/", page), (3, None, None), (4, "u", ""), (5, "u", "short"), (6, "u", "short"), (None, "n", page)]
