@@ -388,6 +388,12 @@ def test_warc_round_trip(spark, tmp_dir):
     ("<table><tr><td>a<td>bb<tr><td>ccc<td>d</table>", "a    bb\nccc  d"), ("x<div hidden>no</div><!-- c -->y", "xy"),
     ("<script>var t='</p>';</script>k<style>p{}</style>", "k"), ("a<br>b", "a\nb"), ("&amp;&lt;", "&<"), ("<pre>\n a\n  b</pre>", " a\n  b"),
     ("<p style='display:none'>no</p>yes", "yes"), ("<b>bold</b> <i>it", "bold it"), ("</p>z", "z"), ("<!-- open", ""),
+    ('<a href="x"">text</a> rest', "text rest"), ("<p title=it's>Hello</p>more", "Hello\n\nmore"), ('<b "x>y</b> z', "y z"), ("a<br '>b", "a\nb"),
+    ('<a title="a > b" href=\'c>d\'>e</a>f', "ef"), ("<i a = 'x>' b=>k</i>l", "kl"), ('</p "x>y', "y"), ("<p hidden=x'>no</p>yes", "yes"),
+    ("<!-->a<!--->b<!-- x --!>c", "abc"), ("a<textarea>x &lt;b>\n y</textarea>b", "a\nx <b>\n y\nb"),
+    ("in <select><option selected>one<option label=deux>two</select> k", "in one deux k"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"),
+    ("a<svg><defs/><title>t</title><path d=M0 /><text>lab</text><text>el</text></svg>b", "a lab el b"), ("<svg><defs><p>out", "out"),
+    ("<svg><![CDATA[a<b]]></svg>", "a<b"), ("<math><semantics><mi>y</mi><annotation>note</annotation></semantics></math>z", "yz"),
 ])
 def test_html(html, text):
     assert html_text.render(html) == text

@@ -6,13 +6,16 @@ options), void elements have no content, script and style hold raw text, and
 stray end tags are dropped. Elements that no one sees are left out: scripts,
 styles, the head, templates, ``hidden``, ``aria-hidden="true"``, inputs of
 type hidden, and inline styles with ``display:none`` or
-``visibility:hidden``. The rest is rendered as it lies on the page: blocks on
+``visibility:hidden``; further what browsers do not show of objects, media,
+frames, lists of suggestions, definitions in drawings and notes of formulas.
+Texts of drawings and formulas, options (the label, if they have one) and text
+areas are shown. The rest is rendered as it lies on the page: blocks on
 lines of their own, paragraphs and headings with a blank line between, list
 items with marks or numbers and indents, tables with aligned columns,
 preformatted text as written.
 
 Cases: null html gives null, empty html the empty text. Unclosed comments,
-tags and raw elements end with the page. Repeated rows are rendered alike;
+tags and raw elements end with the page; a quote opens a value only after "=". Repeated rows are rendered alike;
 null ids are kept. The depth of the tree is bounded by MAX_DEPTH: deeper
 elements count as children of the element at that depth, so no text is lost.
 """
@@ -33,8 +36,14 @@ from trendflow.llm.common import read_table
 MAX_DEPTH = 256
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title noscript iframe object embed audio video canvas svg math datalist "
-                   "noembed noframes meta link base param source track area select textarea".split())
+UNSEEN = frozenset("head script style template title noscript iframe object embed audio video canvas datalist "
+                   "noembed noframes meta link base param source track area".split())
+#: Drawings and formulas: what they hold unseen, what HTML they may hold, and the tags that end them.
+FOREIGN = {"svg": frozenset("defs desc metadata symbol clippath mask pattern marker".split()),
+           "math": frozenset("annotation annotation-xml".split())}
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+                       "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure ul ol dl table fieldset hr".split())
 BLOCK = SPACED | frozenset("html body address article aside dd details dialog div dt figcaption footer form header hgroup "
                            "legend li main nav section summary caption tr thead tbody tfoot td th center".split())
@@ -44,21 +53,27 @@ CLOSES = {
     "tr": ({"tr"}, {"table", "thead", "tbody", "tfoot"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
     "thead": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "caption"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"optgroup"}, {"select"}),
     "body": ({"head"}, {"html"}),
 }
 ENDS_P = BLOCK - {"html", "body", "td", "th", "tr", "thead", "tbody", "tfoot", "caption"}
 P_LIMITS = {"td", "th", "caption", "button", "object", "li", "div", "article", "section", "body", "table"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# a quote opens a value only after "="; elsewhere it is part of a name
+_VALUE = r"(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s\"'>][^\s>]*+))"
+_NAMED = rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+{_VALUE}?+)?+"
+_ANY = re.sub(r"(?<!\\)\((?!\?)", "(?:", _NAMED)
+TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|{_ANY})*+)(?:>|\Z)", re.S)
+CDATA = re.compile(r"<!\[CDATA\[(.*?)(?:\]\]>|\Z)", re.S)
+ATTRIBUTE = re.compile(_NAMED)
 INVISIBLE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "foreign")
 
-    def __init__(self, tag: str, attributes: dict):
+    def __init__(self, tag: str, attributes: dict, foreign: str = ""):
         self.tag, self.attributes, self.children = tag, attributes, []
+        self.foreign = foreign  # svg or math: the drawing or formula that its children belong to
 
 
 def build(source: str) -> Node:
@@ -72,21 +87,34 @@ def build(source: str) -> Node:
             stack[-1].children.append(entities.unescape(source[at:found.start()]))
         at = found.end()
         if found[2] is None:
+            if stack[-1].foreign and (raw := CDATA.match(source, found.start())):
+                stack[-1].children.append(raw[1])
+                at = raw.end()
             continue
         tag = found[2].lower()
         if found[1]:
             _end(stack, tag)
             continue
+        if stack[-1].foreign and tag in BREAKS_OUT:
+            while stack[-1].foreign:
+                stack.pop()
+        foreign = tag if tag in FOREIGN else stack[-1].foreign
         if tag in CLOSES:
             _close(stack, *CLOSES[tag])
         if tag in ENDS_P:
             _close(stack, {"p"}, P_LIMITS)
         node = Node(tag, {m[1].lower(): entities.unescape(next((x for x in m.groups()[1:] if x is not None), ""))
-                          for m in ATTRIBUTE.finditer(found[3])} if found[3].strip(" /\n\t\r") else {})
+                          for m in ATTRIBUTE.finditer(found[3])} if found[3].strip(" /\n\t\r") else {},
+                    "" if tag in HOLDS_HTML else foreign)
+        if tag in FOREIGN.get(stack[-1].foreign, ()):
+            node.attributes["hidden"] = ""
         stack[-1].children.append(node)
-        if tag in RAW:
+        if foreign and found[3].endswith("/"):
+            continue
+        if tag in RAW and not (foreign and tag != "script" and tag != "style"):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-            node.children.append(source[at:end.start() if end else len(source)])
+            raw = source[at:end.start() if end else len(source)]
+            node.children.append(entities.unescape(raw) if tag == "textarea" else raw)
             at = end.end() if end else len(source)
         elif tag not in VOID and len(stack) < MAX_DEPTH:
             stack.append(node)
@@ -172,6 +200,18 @@ def _element(node: Node, box: Layout) -> None:
         if node.attributes.get("alt"):
             box.text(" " + node.attributes["alt"] + " ")
         return
+    if tag in ("option", "optgroup", "select", "svg") or (tag == "text" and node.foreign):  # each label apart
+        label = node.attributes.get("label", "") if tag in ("option", "optgroup") else ""
+        box.text(f" {label} ")
+        if tag != "option" or not label:
+            flow(node, box)
+        box.text(" ")
+        return
+    if tag == "textarea":
+        box.flush()
+        text = _plain(node).removeprefix("\n").rstrip("\n")
+        box.put(text.split("\n") if text.strip() else [])
+        return
     if tag not in BLOCK:
         flow(node, box)
         return
