@@ -110,6 +110,17 @@ def test_jaccard_cases(spark, docs):
     assert ngram_join.jaccard_classes(docs.limit(0)).count() == 0
 
 
+def test_one_per_class_keeps_dissimilar_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "u"), (3, a, "u"), (3, b, "u"), (3, b, "u"), (3, b + " more", "u"), (3, c, "u"), (3, "", "u"), (3, None, "u"), (3, None, "u"), (4, c, "u")]
+    for parts in (1, 7):
+        kept = ngram_join.one_per_class(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts))
+        got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+        assert len([k for k in got if k in ((3, b), (3, b + " more"))]) == 1
+        assert {k: n for k, n in got.items() if not (k[1] or "").startswith("b0")} == {(1, a): 1, (3, c): 1, (3, ""): 1, (3, None): 1}
+        assert set(got.values()) == {1}
+
+
 def test_embeddings_against_all_pairs(spark):
     r = np.random.default_rng(3)
     x = r.normal(size=(60, 64))

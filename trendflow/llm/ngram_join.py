@@ -109,8 +109,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             low.append(min_hashes(shingles))
         keys = band_keys(np.stack(low)) if low else np.zeros((0, BANDS), dtype=np.int64)
         bands = pa.ListArray.from_arrays(pa.array(np.arange(len(nodes) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(nodes, pa.binary()), bands],
-                                         names=["doc_id", "node", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes, pa.binary()), bands],
+                                         names=["doc_id", "text_hash", "node", "bands"])
 
 
 def _payload(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,16 +187,22 @@ def _incidence(sets: list, part: np.ndarray) -> np.ndarray:
     return m
 
 
-def _with_words(docs: DataFrame, *columns: str) -> DataFrame:
+def _with_words(docs: DataFrame, *columns) -> DataFrame:
     return docs.select(*columns, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
 
 
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """(doc_id, class_id, n_links) per row: the smallest id reachable through
     links, and the number of other rows of similarity >= ``threshold``."""
+    return _classes(docs, threshold, tolerance).select("doc_id", "class_id", "n_links")
+
+
+def _classes(docs: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """``jaccard_classes`` with text_hash, node (null without an id or a word)
+    and root, which tells classes of equal class_id apart."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketched = materialize(_with_words(base, "doc_id").mapInArrow(_sketch, "doc_id long, node binary, bands array<long>"),
-                           "sketches")
+    sketched = materialize(_with_words(base, "doc_id", F.xxhash64("text").alias("text_hash")).mapInArrow(
+        _sketch, "doc_id long, text_hash long, node binary, bands array<long>"), "sketches")
     classes = materialize(
         sketched.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node")
         .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight")), "classes")
@@ -204,7 +210,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     buckets = materialize(
         sketched.join(classes.select("node", "doc_id"), ["node", "doc_id"])
         .select(linking.short().alias("id"), F.explode("bands").alias("bucket")), "bands")
-    ids = materialize(sketched.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")), "ids")
+    ids = materialize(sketched.select("doc_id", "text_hash", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node")), "ids")
     discard(sketched)
     proposed = linking.candidate_clusters(buckets)
     clusters = materialize(proposed, "clusters")
@@ -219,21 +225,26 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
             F.coalesce("root", "node").alias("root")), "class-links")
     discard(classes, clusters, *linked.held)
     lowest = per_class.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    per_class = per_class.join(lowest, "root").select("node", "n_links", "class_id")
+    per_class = per_class.join(lowest, "root").select("node", "root", "n_links", "class_id")
     return (ids.join(per_class, "node", "left")
-            .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
+            .select("doc_id", "text_hash", "node", "root", F.coalesce("class_id", "doc_id").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
 
 
 def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest doc_id of each class, once
-    (rows that repeat it go), and every row without an id. All columns stay.
+    """The rows of ``docs`` that stay: of each class the smallest doc_id, once
+    (of its texts in the class that of the smallest node), each text without a
+    word once an id, and every row without an id. Texts that share an id and are
+    no near copies stay each. All columns stay.
     """
-    found = jaccard_classes(docs, threshold)
-    kept = found.where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    whole = docs.select("doc_id", F.struct("*").alias("row"))
-    stay = (whole.join(kept, whole["doc_id"] == kept["kept_id"], "left_semi")
-            .groupBy("doc_id").agg(F.first("row").alias("row")).select("row"))
+    found = _classes(docs, threshold, TOLERANCE).where(F.col("doc_id").isNotNull())
+    lowest = (found.where(F.col("root").isNotNull()).groupBy("root").agg(F.min(F.struct("doc_id", "node", "text_hash")).alias("low"))
+              .select("low.doc_id", "low.text_hash"))
+    kept = lowest.unionByName(found.where(F.col("root").isNull()).select("doc_id", "text_hash").distinct())
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    whole = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    stay = (whole.join(kept, (whole["doc_id"] == kept["kept_id"]) & (whole["text_hash"] == kept["kept_hash"]), "left_semi")
+            .groupBy("doc_id", "text_hash").agg(F.first("row").alias("row")).select("row"))
     return stay.unionByName(whole.where(F.col("doc_id").isNull()).select("row")).select("row.*")
 
 
