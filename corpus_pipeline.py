@@ -35,8 +35,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the training sequences."""
-    return packing.pack(docs.select("doc_id", "text")).drop("ids")
+    """The pieces of the training sequences, with their tokens."""
+    return packing.pack(docs.select("doc_id", "text"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -424,3 +424,14 @@ def test_pipeline_stages_on_odd_rows(spark, docs, tmp_dir):
         kept = corpus_pipeline.materialize(stage(spark, kept, tmp_dir), name)
         assert name == "pack" or kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} <= {1, 7, 8, None}
+
+
+def test_pipeline_packs_tokens(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, NORMAL, "a"), (1, NORMAL, "a"), (2, "one two", "a")], "doc_id long, text string, source string")
+    rows = corpus_pipeline.pack(spark, docs, "").collect()
+    for r in rows:
+        ids = np.frombuffer(r.ids, dtype="<u2").astype("<u4")
+        assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
+    assert len(rows) == 3
