@@ -316,6 +316,24 @@ def test_chat_round_trip_and_events(spark):
     assert chat_format.digests(chat_format.render(chat_format.fold(log.limit(0)))).count() == 0
 
 
+def test_chat_hot_conversation_spreads_over_tasks(spark):
+    rows = [(1, i % 400, "user" if i % 2 else "assistant", f"t{i} " * (i % 30)) for i in range(2000)]
+    rows += [(2, None, "user", f"n{i:04d}") for i in range(2000)] + [(None, 0, None, "x"), (3, 1, "assistant", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = chat_format.log_of(df)
+    assert log.where("conv_id = 2").select(F.spark_partition_id().alias("p"), "tie").distinct().groupBy("p").count().count() > 1
+    rendered = chat_format.render(chat_format.fold(log))
+    assert rendered.where("conv_id = 1").select(F.spark_partition_id()).distinct().count() > 1
+    for conv in (1, 2):
+        got = sorted((r for r in rendered.collect() if r.conv_id == conv), key=lambda r: r.position)
+        want = sorted((r[1] or 0, r[2], r[3]) for r in rows if r[0] == conv)
+        assert [r.position for r in got] == list(range(2000))
+        whole = "".join(r.rendered for r in got)
+        assert chat_format.parse(whole) == [x[1:] for x in want]
+        assert all(whole[r.offset:r.offset + len(r.rendered)] == r.rendered for r in got)
+        assert [whole[r.loss_start:r.loss_end] for r in got if r.loss_start is not None] == [x[2] for x in want if x[1] == "assistant"]
+
+
 def test_chat_digests(spark):
     rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "b" * 2000), (1, 2, "assistant", None), (None, 0, None, "x"), (3, None, "system", "")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

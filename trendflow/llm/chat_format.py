@@ -3,8 +3,10 @@
 The log has one row per event: conv_id, turn, tie, seq, kind, role, text.
 ``message`` opens a turn, ``delta`` appends to it, ``edit`` replaces its text,
 ``regenerate`` empties it and discards every later turn logged before. The
-final messages are folded per turn, so a long conversation spreads over tasks;
-only numbers (one row per turn) are ordered per conversation.
+final messages are folded per turn and ordered by range, so a long
+conversation (or a turn that many rows share) spreads over tasks: each task
+numbers its slice, and a table of at most one row per slice carries the numbers
+on. Only ``digests`` reads a conversation's text in one task, as a hash needs.
 
 A turn is rendered as ``<|im_start|>role<|im_sep|>text<|im_end|>``. Inside
 roles and texts a backslash is doubled and every control string (these marks
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from trendflow.llm.common import read_table
+from trendflow.llm.common import read_table, scratch_path
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Control strings of this template and of other public ones.
@@ -75,34 +77,61 @@ def fold(events: DataFrame) -> DataFrame:
 def render(messages: DataFrame) -> DataFrame:
     """One row per turn in order: conv_id, position, offset (code points before
     it in the conversation), rendered, loss_start and loss_end (both null for
-    turns that are not learnt). Rows of a conversation are in order within one
-    partition; read on, they are its formatted text."""
+    turns that are not learnt). The rows of a conversation lie in order over the
+    partitions; read by position they are its formatted text."""
     header = F.concat(F.lit(START), escape(F.col("role")), F.lit(SEP))
     rows = messages.select(
         "conv_id", "turn", "tie", F.char_length(header).cast("long").alias("head"),
         F.concat(header, escape(F.col("text")), F.lit(END)).alias("rendered"), (F.col("role") == LEARNT).alias("learnt"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "tie")
+    rows = in_order(rows.withColumn("size", F.char_length("rendered").cast("long")), ["conv_id"], ["turn", "tie"], "rendered")
+    return rows.select("conv_id", "position", "offset", "rendered",
+                       F.when(F.col("learnt"), F.col("offset") + F.col("head")).alias("loss_start"),
+                       F.when(F.col("learnt"), F.col("offset") + F.col("size") - len(END)).alias("loss_end"))
+
+
+def in_order(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds ``position`` and ``offset`` (rows, and sum of ``size``, before a row
+    of its group) without putting a group into one task. The slices are
+    written to scratch, so that all reads see the same ones."""
+    spark = rows.sparkSession
+    keys = [*group, *order]
+    sliced = (rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+              .sortWithinPartitions(*keys).withColumn("slice", F.spark_partition_id()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, position, at = _NONE, 0, 0
         for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if r["conv_id"] != now:
-                    now, position, at = r["conv_id"], 0, 0
-                size = len(r["rendered"])
-                learnt = r["learnt"]
-                out.append({"conv_id": now, "position": position, "offset": at, "rendered": r["rendered"],
-                            "loss_start": at + r["head"] if learnt else None, "loss_end": at + size - len(END) if learnt else None})
+            positions, offsets = [], []
+            for key, size in zip(zip(*(batch.column(g).to_pylist() for g in group), strict=True), batch.column("size").to_pylist(), strict=True):
+                if key != now:
+                    now, position, at = key, 0, 0
+                positions.append(position)
+                offsets.append(at)
                 position, at = position + 1, at + size
-            yield pa.RecordBatch.from_pylist(out, schema=_RENDERED)
-
-    return ordered.mapInArrow(run, "conv_id long, position long, offset long, rendered string, loss_start long, loss_end long")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(positions, pa.int64()), pa.array(offsets, pa.int64())],
+                                             names=[*batch.schema.names, "position", "offset"])
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sliced.schema.fields)
+    path = scratch_path(spark, name)
+    local = sliced.mapInArrow(run, f"{fields}, position long, offset long")
+    local.write.option("compression", "zstd").parquet(path)
+    local = spark.read.schema(local.schema).parquet(path)
+    # only the first group of a slice can have rows in an earlier one
+    before = Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (local.groupBy("slice", *group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars"))
+               .select(F.col("slice").alias("s"), *[F.col(g).alias(f"g_{g}") for g in group],
+                       F.sum("n").over(before).alias("n_before"), F.sum("chars").over(before).alias("chars_before"))
+               .where(F.col("n_before").isNotNull()))
+    same = F.col("slice") == F.col("s")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"g_{g}"))
+    return (local.join(F.broadcast(carried), same, "left")
+            .withColumn("position", F.col("position") + F.coalesce("n_before", F.lit(0)))
+            .withColumn("offset", F.col("offset") + F.coalesce("chars_before", F.lit(0)))
+            .select(*rows.columns, "position", "offset"))
 
 
 _NONE = object()
-_RENDERED = pa.schema([("conv_id", pa.int64()), ("position", pa.int64()), ("offset", pa.int64()), ("rendered", pa.string()),
-                       ("loss_start", pa.int64()), ("loss_end", pa.int64())])
 _TURN = re.compile(f"{re.escape(START)}(.*?){re.escape(SEP)}(.*?){re.escape(END)}", re.S)
 
 
@@ -138,7 +167,7 @@ _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_s
 
 
 def digests(rendered: DataFrame) -> DataFrame:
-    """One row per conversation, read back from ``render``'s rows as they lie."""
+    """One row per conversation, read back from ``render``'s rows in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, digest = _NONE, _Digest()
         for batch in batches:
@@ -154,7 +183,8 @@ def digests(rendered: DataFrame) -> DataFrame:
         if now is not _NONE:
             yield pa.RecordBatch.from_pylist([digest.row(now)], schema=_DIGEST)
 
-    return rendered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+    ordered = rendered.repartition("conv_id").sortWithinPartitions("conv_id", "position")
+    return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                                     "formatted_chars long")
 
 
@@ -162,9 +192,9 @@ def log_of(rows: DataFrame, delta_chars: int = DELTA_CHARS) -> DataFrame:
     """The log of a stream that delivered these rows (conv_id, turn, role,
     text): each row is a message followed by deltas of its text. Rows that
     share a turn are ordered by role and text."""
-    tie = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) - 1
     numbered = rows.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
-                           "role", "text").withColumn("tie", tie)
+                           "role", "text", F.lit(0).cast("long").alias("size"))
+    numbered = in_order(numbered, ["conv_id", "turn"], ["role", "text"], "chat-log").withColumn("tie", F.col("position"))
     parts = F.ceil(F.char_length(F.coalesce("text", F.lit(""))) / delta_chars).cast("int")
     events = numbered.withColumn("part", F.explode(F.sequence(F.lit(0), parts)))
     return events.select(
