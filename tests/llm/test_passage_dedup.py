@@ -1,0 +1,133 @@
+"""Removal of repeated passages against a table of all windows, and its cases."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trendflow.llm import bwt_merge, passage_dedup
+
+DOCS = "doc_id long, text string, start string, n int, kept string, spans int, key string"
+
+
+def plain(rows, length):
+    """{(id, text): (n_bytes, spans, kept)} by a table of all windows."""
+    texts = {(k, (t or "").encode()) for k, t in rows}
+    first, places = {}, []
+    for key, body in texts:
+        for at in range(len(body) - length + 1):
+            places.append((key is None, key or 0, body, at))
+    for p in places:
+        w = p[2][p[3]:p[3] + length]
+        first[w] = min(p[:2] + (p[3],), first.get(w, p[:2] + (p[3],)))
+    out = {}
+    for key, body in texts:
+        gone = np.zeros(len(body) + 1, dtype=bool)
+        for at in range(len(body) - length + 1):
+            if first[body[at:at + length]] != (key is None, key or 0, at):
+                gone[at:at + length] = True
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int)])))
+        spans = [(int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+        out[key, body] = (len(body), spans, bytes(np.frombuffer(body, dtype=np.uint8)[~gone[:-1]]))
+    return out
+
+
+def check(spark, rows, length=100, parts=3, **options):
+    df = spark.createDataFrame([(k, t, "x", 1, "y", 2, "z") for k, t in rows], DOCS).repartition(parts)
+    found = passage_dedup.remove_repeats(df, length=length, **options).collect()
+    got = sorted((r.doc is None, r.doc or 0, r.n_bytes, [(s.start, s.length) for s in r.spans], bytes(r.kept)) for r in found)
+    want = plain(rows, length)
+    assert got == sorted((k is None, k or 0, *want[k, (t or "").encode()]) for k, t in rows)
+    return got
+
+
+def corpus(seed, n=60, length=100):
+    r = random.Random(seed)
+    vocabulary = ["".join(r.choice("abcdefgé") for _ in range(r.randint(2, 9))) for _ in range(200)]
+    passages = [" ".join(r.choice(vocabulary) for _ in range(r.randint(10, 60))) for _ in range(5)]
+    rows = []
+    for k in range(n):
+        words = [r.choice(vocabulary) for _ in range(r.randint(0, 120))]
+        for _ in range(r.randint(0, 3)):
+            words.insert(r.randint(0, len(words)), r.choice(passages))
+        rows.append((k, " ".join(words)))
+    rows += [(k + 100, t[:r.randint(0, len(t))] + " end" * r.randint(0, 40)) for k, t in rows[:20]]
+    return rows + [(200, rows[3][1]), (201, rows[3][1]), rows[5], rows[5], (202, None), (203, ""), (204, "x" * 1500), (205, "ab" * 700),
+                   (None, rows[7][1]), (206, "\n".join(["the same line of text again"] * 60))]
+
+
+@pytest.mark.parametrize(("length", "options"), [
+    (100, {}), (100, {"hot": 1}), (100, {"hot": 3, "cell_bytes": 2000, "shards": 2}), (60, {"gram": 16, "hot": 2}), (24, {"gram": 8, "cell_bytes": 500}),
+    (40, {"gram": 40})])
+def test_against_all_windows(spark, length, options):
+    check(spark, corpus(length), length, parts=4, **options)
+
+
+def test_common_line_before_different_texts(spark):
+    """One anchor with different surroundings in most documents is split."""
+    line = "This very common line of more than a hundred bytes stands at the head of nearly all of the documents, followed by others. "
+    r = random.Random(1)
+    rows = [(k, line + "".join(r.choice("abcdefgh ") for _ in range(150))) for k in range(400)]
+    got = check(spark, rows, hot=20, parts=5)
+    assert sum(bool(spans) for *_, spans, _ in got) == 399
+
+
+def test_batches_and_partitions_do_not_matter(spark):
+    rows = corpus(5)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        assert check(spark, rows, parts=9) == check(spark, rows, parts=1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_texts_of_one_id_and_empty_table(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, long), (1, long + " more"), (2, long)], "doc_id long, text string")
+    got = passage_dedup.remove_repeats(df).collect()
+    # of two texts of id 1 one keeps what they share; id 2 keeps nothing
+    assert sorted(len(r.kept) for r in got if r.doc == 1) in ([0, len(long) + 5], [5, len(long)])
+    assert [len(r.kept) for r in got if r.doc == 2] == [0]
+    assert passage_dedup.remove_repeats(df.limit(0)).count() == 0
+    assert passage_dedup.remove_repeats(spark.createDataFrame([(1, None), (None, "")], "doc_id long, text string")).count() == 2
+
+
+def test_op12_against_all_windows(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    want = plain(rows, 100)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in passage_dedup.op12_passage_dedup(spark, sf).collect()}
+    assert len(got) == len(rows) and sum(v[1] for v in got.values()) > 0
+    for k, t in rows:
+        size, spans, kept = want[k, (t or "").encode()]
+        assert got[k] == (size, sum(n for _, n in spans), len(spans), hashlib.sha256(kept).hexdigest())
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_merged_transforms(seed):
+    r = random.Random(seed)
+    length = r.choice([3, 5, 8])
+    shards = [[bytes(r.choice(b"ab\x00\xff") for _ in range(r.randint(length, 30))) for _ in range(r.randint(1, 12))] for _ in range(r.randint(1, 4))]
+    made = [bwt_merge.transform(s) for s in shards]
+    for strings, (last, whole) in zip(shards, made, strict=True):
+        order = sorted(((s[k:], i, k) for i, s in enumerate(strings) for k in range(len(s) + 1)),
+                       key=lambda x: ([b + 1 for b in x[0]] + [0], x[1]))
+        assert last.tolist() == [strings[i][k - 1] if k else 0 for _, i, k in order]
+        assert sorted(whole) == [row for row, x in enumerate(order) if x[2] == 0]
+    block, string, window = bwt_merge.merge(made, [np.array([len(s) - length + 1 for s in strings]) for strings in shards], length)
+    found, want = {}, {}
+    for b, s, w in zip(block.tolist(), string.tolist(), window.tolist(), strict=True):
+        found.setdefault(b, []).append((s, w))
+    for i, s in enumerate(x for strings in shards for x in strings):
+        for k in range(len(s) - length + 1):
+            want.setdefault(s[k:k + length], []).append((i, k))
+    assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+
+
+def test_spans_are_written_from_the_sum_of_windows(spark):
+    df = spark.createDataFrame([(1, "a" * 150), (2, "a" * 150)], "doc_id long, text string")
+    got = {r.doc: r for r in passage_dedup.remove_repeats(df).select("doc", F.size("spans").alias("n"), "kept").collect()}
+    assert (got[1].n, len(got[1].kept)) == (1, 1) and (got[2].n, len(got[2].kept)) == (1, 0)
