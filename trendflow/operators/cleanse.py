@@ -81,7 +81,8 @@ def flatten_api(df: DataFrame, run_date: _dt.date | str | None = None) -> DataFr
     trending_date is the run day as `yy.dd.MM`: ``run_date`` when given,
     else the day of the envelope's ingestion timestamp, else today (UTC).
     Missing optional fields default: dislikes 0, tags/thumbnail null,
-    flags false. Tags arrays are joined with ``|``.
+    flags false. Tags arrays are joined with ``|``. The day itself is carried as
+    trending_date_parsed, as two digits of a year do not tell the century.
     """
     df = explode_items(df)
     if run_date is not None:
@@ -99,6 +100,7 @@ def flatten_api(df: DataFrame, run_date: _dt.date | str | None = None) -> DataFr
     return df.select(
         try_text(field_or(df, "id")).alias("video_id"),
         format_trending_date(day).alias("trending_date"),
+        day.alias("trending_date_parsed"),
         try_text(field_or(df, "snippet.title")).alias("title"),
         try_text(field_or(df, "snippet.channelTitle")).alias("channel_title"),
         try_long(field_or(df, "snippet.categoryId")).alias("category_id"),
@@ -139,7 +141,8 @@ def _ingested_at(df: DataFrame) -> Column:
 # --------------------------------------------------------------- flat rows --
 
 def cast_flat(df: DataFrame) -> DataFrame:
-    """Flat (CSV) rows -> the 17 typed columns; junk becomes null."""
+    """Flat (CSV) rows -> the 17 typed columns; junk becomes null. A day that
+    is parsed already stays."""
     casters = {T.StringType(): try_text, T.LongType(): try_long, T.BooleanType(): try_bool}
     cols = []
     for name, dtype in FLAT_COLUMNS:
@@ -150,6 +153,8 @@ def cast_flat(df: DataFrame) -> DataFrame:
         cols.append(F.col("_ingested_at").try_cast("timestamp").alias("_ingested_at"))
     else:
         cols.append(F.lit(None).cast("timestamp").alias("_ingested_at"))
+    if "trending_date_parsed" in df.columns:
+        cols.append(F.col("trending_date_parsed").try_cast("date").alias("trending_date_parsed"))
     return df.select(*cols)
 
 

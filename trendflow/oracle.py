@@ -130,7 +130,7 @@ CATEGORIES = f"""ca AS (
          {_exact_avg('engagement_rate')} AS avg_engagement_rate,
          count(DISTINCT channel_title) AS unique_channels
   FROM gold_in GROUP BY category_name, category_id, region, trending_date_parsed)
-SELECT *, round(total_views / sum(total_views) OVER (PARTITION BY region, trending_date_parsed) * 100, 2)
+SELECT *, round(total_views / nullif(sum(total_views) OVER (PARTITION BY region, trending_date_parsed), 0) * 100, 2)
        AS view_share_pct
 FROM ca"""
 
