@@ -10,7 +10,7 @@ from trendflow.llm.html_text import op10_html_text
 from trendflow.llm.mixing import op8_mixing
 from trendflow.llm.ngram_join import op6_ngram_join
 from trendflow.llm.packing import op2_packing
-from trendflow.llm.passage_dedup import op12_passage_dedup
+from trendflow.llm.passage_dedup import PASSAGE_SQL, op12_passage_dedup
 from trendflow.llm.quality_rules import op7_quality_rules
 from trendflow.llm.secret_scan import op3_secret_scan
 from trendflow.llm.url_filter import op5_url_filter
@@ -21,4 +21,5 @@ QUERIES = {f.__name__: f for f in (
     op7_quality_rules, op8_mixing, op9_warc, op10_html_text, op11_filter_audit, op12_passage_dedup,
     op13_fill_in_middle)}
 
-ORACLE_SQL: dict[str, str] = {"op9_warc": WARC_SQL, "op11_filter_audit": AUDIT_SQL, "op13_fill_in_middle": FIM_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_warc": WARC_SQL, "op11_filter_audit": AUDIT_SQL, "op12_passage_dedup": PASSAGE_SQL,
+                              "op13_fill_in_middle": FIM_SQL}

@@ -40,15 +40,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/trendflow-llm/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+#: Session setting: Spark deletes the shuffle files of a query at its end.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, *, tidy: bool = False, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to shared scratch and read it back.
 
     Cuts lineage with files that survive the loss of any executor; the
-    reread has exact sizes, so later joins are planned on them.
+    reread has exact sizes, so later joins are planned on them. ``tidy`` has
+    the write's shuffle files deleted at its end; the session's own setting
+    holds again afterwards.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(TIDY, None)
+    if tidy:
+        spark.conf.set(TIDY, "true")
+        df = df.select("*")  # planned under the setting
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        if tidy and before is None:
+            spark.conf.unset(TIDY)
+        elif tidy:
+            spark.conf.set(TIDY, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -12,7 +12,7 @@ such that equal strings always meet.
 2. Anchors that occur once are dropped: rows are range-partitioned by anchor
    and compared with their neighbours; at the borders of partitions they stay.
 3. Segments. A document's remaining runs are cut from its text (windows of one
-   anchor, about 125 bytes). Equal segments that one task sees become one, the
+   anchor, about 130 bytes). Equal segments that one task sees become one, the
    first; the others repeat it whole.
 4. An anchor of more than ``HOT`` segments is split: equal segments become one
    over all tasks (again by range and neighbours, which spreads one anchor over
@@ -49,7 +49,7 @@ from trendflow.llm import bwt_merge
 from trendflow.llm.common import discard, materialize, read_table
 
 LENGTH = 100
-GRAM = 48
+GRAM = 40
 HOT = 4096
 CELL_BYTES = 4 << 20
 SHARDS = 4
@@ -355,40 +355,44 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     tables that the result reads."""
     if not 0 < gram <= length or length - gram + 1 > 255:
         raise ValueError("a window holds one to 255 grams")
-    spots = materialize(docs.where(F.octet_length("text") >= length).mapInArrow(_find_anchors(length, gram), _SPOT), "anchors")
-    again = (spots.repartitionByRange("key", "doc", "sub", "at").sortWithinPartitions("key")
-             .mapInArrow(_with_neighbours, _SPOT)
-             .groupBy("doc", "sub").agg(F.collect_list(F.struct("key", "at")).alias("spots"))
-             .withColumnsRenamed({"doc": "d", "sub": "s"}))
-    same = docs["doc"].eqNullSafe(again["d"]) & (docs["sub"] == again["s"])
-    cut = materialize(docs.join(again, same).select("doc", "sub", "text", "spots").mapInArrow(_cut(length, gram), _SEGMENT), "segments")
+    # each step's shuffle files go with it, and what it read once the next is written
+    spots = materialize(docs.where(F.octet_length("text") >= length).mapInArrow(_find_anchors(length, gram), _SPOT), "anchors", tidy=True)
+    again = materialize(
+        spots.repartitionByRange("key", "doc", "sub", "at").sortWithinPartitions("key").mapInArrow(_with_neighbours, _SPOT)
+        .groupBy("doc", "sub").agg(F.collect_list(F.struct("key", "at")).alias("spots"))
+        .withColumnsRenamed({"doc": "d", "sub": "s"}), "anchors-again", tidy=True)
     discard(spots)
+    same = docs["doc"].eqNullSafe(again["d"]) & (docs["sub"] == again["s"])
+    # segments that follow one another overlap, which this codec uses
+    cut = materialize(docs.join(again, same).select("doc", "sub", "text", "spots").mapInArrow(_cut(length, gram), _SEGMENT),
+                      "segments", tidy=True, compression="zstd")
+    discard(again)
     held, whole, cells = [cut], [_only_spans(cut)], []
     rest = cut.where(F.col("key").isNotNull())
     while True:
-        many = materialize(rest.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > hot).select("key"), "hot-anchors")
+        many = materialize(rest.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > hot).select("key"), "hot-anchors", tidy=True)
         held.append(many)
         if many.isEmpty():
             cells.append(rest)
             break
         cells.append(rest.join(many, "key", "left_anti"))
         once = materialize(rest.join(many, "key", "left_semi").repartitionByRange("key", "seg", "doc", "sub", "start")
-                           .sortWithinPartitions("key", "seg").mapInArrow(_collapse, _SEGMENT), "hot-segments")
+                           .sortWithinPartitions("key", "seg").mapInArrow(_collapse, _SEGMENT), "hot-segments", tidy=True)
         held.append(once)
         whole.append(_only_spans(once))
         rest = once.where(F.col("key").isNotNull())
         still = materialize(rest.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.max(F.col("high") - F.col("low")).alias("wide"))
-                            .where((F.col("many") > hot) & (F.col("wide") > 0)).select("key"), "hot-anchors")
+                            .where((F.col("many") > hot) & (F.col("wide") > 0)).select("key"), "hot-anchors", tidy=True)
         held.append(still)
         cells.append(rest.join(still, "key", "left_anti"))
-        rest = materialize(rest.join(still, "key", "left_semi").mapInArrow(_halve(length), _SEGMENT), "halves")
+        rest = materialize(rest.join(still, "key", "left_semi").mapInArrow(_halve(length), _SEGMENT), "halves", tidy=True)
         held.append(rest)
     rows = reduce(DataFrame.unionByName, cells)
     size = rows.agg(F.sum(F.octet_length("seg"))).first()[0] or 0
     cell = F.pmod(F.col("key"), F.lit(1 + size // cell_bytes)).alias("cell")
     found = (rows.select(cell, "key", "seg", "doc", "sub", "start", "n").repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_cells(length, shards), _SPAN))
-    out = materialize(reduce(DataFrame.unionByName, [*whole, found]), "spans")
+    out = materialize(reduce(DataFrame.unionByName, [*whole, found]), "spans", tidy=True)
     discard(*held)
     out.held = [out]
     return out
@@ -417,3 +421,25 @@ def op12_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["length"])
     return found.select(F.col("doc").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
                         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: By a table of all windows in hexadecimal digits; for ids that are not repeated.
+PASSAGE_SQL = r"""WITH rows AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS b FROM documents),
+d AS (SELECT DISTINCT doc_id, b FROM rows),
+w AS (
+  SELECT doc_id, i, substr(b, 2 * i + 1, 200) AS s
+  FROM (SELECT doc_id, b, unnest(range(0, CAST(length(b) / 2 AS BIGINT) - 99)) AS i FROM d WHERE length(b) >= 200)),
+r AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS fresh FROM r),
+n AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM g),
+p AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS e FROM n GROUP BY doc_id, span),
+q AS (SELECT doc_id, a, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+k AS (
+  SELECT q.doc_id, sum(e - a) AS n_removed, count(*) AS n_spans, max(e) AS last,
+         string_agg(substr(b, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+  FROM q JOIN d ON q.doc_id = d.doc_id GROUP BY q.doc_id)
+SELECT d.doc_id, CAST(length(b) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(b, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM rows d LEFT JOIN k ON d.doc_id = k.doc_id"""
