@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
         from trendflow.streaming.incremental import incremental_silver
         out = incremental_silver(spark, args.bronze_statistics, args.staging, args.silver,
                                  args.checkpoint, fmt=args.format, regions=_regions(args.regions))
-        print(json.dumps({"partitions": len(out["partitions"]), "batches": out["batches"]}))
+        print(json.dumps({"partitions": len(out["partitions"]), "batches": out["batches"], "metrics": out["metrics"]}))
         return 0
     from trendflow.operators import quality as dq
     root = args.silver_root.rstrip("/")

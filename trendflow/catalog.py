@@ -26,6 +26,7 @@ from trendflow.plans.silver import build_silver_statistics
 from trendflow.session import scratch_path
 from trendflow.sinks.parquet import land_reference
 from trendflow.sources import tables as src
+from trendflow.streaming.incremental import incremental_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,6 +193,26 @@ def q_region_from_path(spark, sf_dir):
                        region_from_path("object_key").alias("region"))
 
 
+def land_flat_delivery(spark, sf_dir, bronze_path, keep):
+    """One delivery of CSV files under ``region=<NAME>/``. A key's rows share a
+    file, hence a delivery time."""
+    flat = src.flat_bronze_view(spark, sf_dir, keep=keep).withColumn("region", F.upper(F.trim("region")))
+    (flat.repartition("region", "video_id", "trending_date").write.mode("append").option("header", True)
+     .option("escape", '"').partitionBy("region").csv(bronze_path))
+
+
+def q_bronze_incremental(spark, sf_dir):
+    """S7: the even orders, the odd ones, and every fifth order again land as
+    CSV one after the other; each delivery is merged into Silver by a run of its
+    own. Returns Silver. Runs its jobs when called, as it writes tables."""
+    root = scratch_path(spark, "incremental")
+    order = F.col("l_orderkey")
+    for keep in (order % 2 == 0, order % 2 == 1, order % 5 == 0):
+        land_flat_delivery(spark, sf_dir, f"{root}/bronze", keep)
+        incremental_silver(spark, f"{root}/bronze", f"{root}/staging", f"{root}/silver", f"{root}/checkpoint", regions=None)
+    return spark.read.parquet(f"{root}/silver").select(*[c for c in CLEAN_COLUMNS if c != "_ingested_at"])
+
+
 def q_pipeline_end_to_end(spark, sf_dir):
     """O1: CSV of the even orders and API documents of the odd ones land under
     one Bronze prefix in shared scratch; both lanes, the quality gate and Gold
@@ -201,11 +222,7 @@ def q_pipeline_end_to_end(spark, sf_dir):
     root = scratch_path(spark, "end-to-end")
     layout = Layout(f"{root}/bronze/statistics", f"{root}/bronze/reference", f"{root}/silver", f"{root}/gold")
     even = F.col("l_orderkey") % 2 == 0
-    region = F.upper(F.trim("region"))
-    # a key's rows share a file, hence a delivery time
-    flat = src.flat_bronze_view(spark, sf_dir, keep=even).withColumn("region", region)
-    (flat.repartition("region", "video_id", "trending_date").write.option("header", True)
-     .option("escape", '"').partitionBy("region").csv(layout.bronze_statistics))
+    land_flat_delivery(spark, sf_dir, layout.bronze_statistics, even)
     api = src.api_payload_view(spark, sf_dir, keep=~even)
     (api.select("items", "_pipeline_metadata", F.upper("_pipeline_metadata.region").alias("region"),
                 F.lit("2024-01-01").alias("date"), F.lit("03").alias("hour"))
@@ -229,6 +246,7 @@ QUERIES: dict[str, Query] = {
     "metric_ratios": q_metric_ratios,
     "dedup_latest": q_dedup_latest,
     "silver_statistics": q_silver_statistics,
+    "bronze_incremental": q_bronze_incremental,
     "reference_explode": q_reference_explode,
     "reference_report": q_reference_report,
     "category_lookup_join": q_category_lookup_join,

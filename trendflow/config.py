@@ -44,6 +44,10 @@ UNKNOWN_CATEGORY = "Unknown"
 UNKNOWN_REGION = "unknown"
 # --- end FIXED values --------------------------------------------------------
 
+# Silver statistics lie in folders by region and month of the trending day (an
+# integer like 202411), so that a delivery rewrites the months that it touches.
+SILVER_PARTITIONS = ["region", "trending_month"]
+
 METRIC_COLUMNS = ["views", "likes", "dislikes", "comment_count"]
 STAT_KEY = ["video_id", "region", "trending_date_parsed"]
 

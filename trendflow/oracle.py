@@ -245,6 +245,19 @@ QUALIFY row_number() OVER (
            video_error_or_removed ASC NULLS FIRST, description ASC NULLS FIRST,
            like_ratio ASC NULLS FIRST, engagement_rate ASC NULLS FIRST) = 1""",
 
+    "bronze_incremental": f"""WITH {FACTS},
+{FLAT.replace('SELECT CASE', 'SELECT CASE WHEN l_orderkey % 5 = 0 THEN 2 ELSE l_orderkey % 2 END AS delivered, CASE', 1)},
+{TYPED.replace('SELECT video_id', 'SELECT delivered, video_id', 1)}
+SELECT * EXCLUDE (delivered) FROM cleansed
+QUALIFY row_number() OVER (
+  PARTITION BY video_id, region, trending_date_parsed
+  ORDER BY delivered DESC, views DESC, likes DESC, dislikes DESC, comment_count DESC, trending_date ASC NULLS FIRST,
+           title ASC NULLS FIRST, channel_title ASC NULLS FIRST, category_id ASC NULLS FIRST,
+           publish_time ASC NULLS FIRST, tags ASC NULLS FIRST, thumbnail_link ASC NULLS FIRST,
+           comments_disabled ASC NULLS FIRST, ratings_disabled ASC NULLS FIRST,
+           video_error_or_removed ASC NULLS FIRST, description ASC NULLS FIRST,
+           like_ratio ASC NULLS FIRST, engagement_rate ASC NULLS FIRST) = 1""",
+
     "nested_flatten": f"""WITH {FACTS}
 SELECT CAST(l_partkey AS VARCHAR) AS video_id,
        strftime(CAST(l_shipdate AS DATE), '%y.%d.%m') AS trending_date,

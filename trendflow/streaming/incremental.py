@@ -1,40 +1,53 @@
 """S7: incremental Bronze -> Silver with Structured Streaming.
 
-Only files that arrived since the last run are read (file-source
-checkpoint), with an available-now trigger so the job processes what is
-there and stops. Each micro-batch is cleansed (P1-P10) and staged under
-``<staging>/region=<xx>/trending_date_parsed=<day>/batch=<id>/``; a replayed
-batch overwrites its own folders only, so it is idempotent. Before the batch
-is committed, Silver is rebuilt for the (region, day) pairs that received rows: D1 over
-*all* staged rows of those pairs (the dedup key contains both, so nothing
-outside them can change), written with dynamic overwrite to the separate
-Silver path, which is partitioned by region and day. A run therefore
-rewrites only the days it touched, not whole regions (one region may hold
-a third of the table). A repeated or late delivery of a key is
-deduplicated across runs, and the result equals a full batch recompute
-over the same files.
+Only files that arrived since the last run are read (file-source checkpoint),
+with an available-now trigger so the job processes what is there and stops.
+The wanted regions are a filter on the stream's partition column, so folders of
+other regions are not read. Each micro-batch goes through three writes:
+
+    <staging>/<stream>/batch=<id>/incoming   its cleansed rows (P1-P10)
+    <staging>/<stream>/batch=<id>/merged     D1 over those rows and the stored
+                                             rows of the months that they touch
+    <silver>/region=<xx>/trending_month=<yyyymm>   replaced by the merged rows
+
+The survivors of D1 are the first rows of a total order, so merging stored
+survivors with new rows gives what a replay of all history would: Silver is
+read in the touched folders only, which are opened by name. A batch's entry in
+``<staging>/manifest`` (one line of JSON: its folders and counts) is written
+between the second and the third step. A run that dies before it starts the
+batch again with Silver untouched; one that dies after it repeats only the
+third step, from whole files. What earlier batches staged is deleted, so
+neither staging nor its listing grows with history; lines of the manifest are
+folded into files of ``FOLD``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendflow.config import API_PAYLOAD_SCHEMA, FLAT_TEXT_SCHEMA, SILVER_REGIONS
-from trendflow.operators.cleanse import CLEAN_COLUMNS, cleanse, to_flat, with_audit
-from trendflow.operators.dedup import latest_statistics
+from trendflow.config import API_PAYLOAD_SCHEMA, FLAT_TEXT_SCHEMA, SILVER_PARTITIONS, SILVER_REGIONS
+from trendflow.functions.dates import month_number
+from trendflow.operators.cleanse import CLEAN_COLUMNS, cleanse, explode_items, to_flat, with_audit
+from trendflow.operators.dedup import AUDIT_COLUMNS, merge_latest
 from trendflow.plans.silver import STATS_JOB
-from trendflow.sinks.parquet import write_table
+from trendflow.sinks import files
+from trendflow.sinks.parquet import observed, write_table
+from trendflow.sources.bronze import region_filter
 
-SILVER_PARTITIONS = ("region", "trending_date_parsed")
-STAGING_PARTITIONS = ("region", "trending_date_parsed", "batch")
+#: Manifest files of single batches that are folded into one.
+FOLD = 50
 
+MANIFEST_SCHEMA = ("stream string, batch long, folders array<struct<region: string, trending_month: int>>, "
+                   "rows_read long, rows_staged long, rows_merged long")
 
-def _stream(spark: SparkSession, bronze_path: str, fmt: str, max_files: int | None) -> DataFrame:
+
+def _stream(spark: SparkSession, bronze_path: str, fmt: str, regions: Iterable[str] | None, max_files: int | None) -> DataFrame:
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -42,11 +55,18 @@ def _stream(spark: SparkSession, bronze_path: str, fmt: str, max_files: int | No
         schema = T.StructType(FLAT_TEXT_SCHEMA.fields + [T.StructField("region", T.StringType())])
         df = (reader.schema(schema).option("header", True).option("multiLine", True)
               .option("escape", '"').csv(bronze_path))
-        return df.withColumn("_ingested_at", F.col("_metadata.file_modification_time"))
-    if fmt == "json":
+        df = df.withColumn("_ingested_at", F.col("_metadata.file_modification_time"))
+    elif fmt == "json":
         schema = T.StructType(API_PAYLOAD_SCHEMA.fields + [T.StructField("region", T.StringType())])
-        return reader.schema(schema).option("multiLine", True).json(bronze_path)
-    raise ValueError(f"unknown Bronze format {fmt!r}")
+        df = reader.schema(schema).option("multiLine", True).json(bronze_path)
+    else:
+        raise ValueError(f"unknown Bronze format {fmt!r}")
+    return region_filter(df, regions)
+
+
+def _stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id that the checkpoint has for good; batches are numbered within it."""
+    return json.loads(files.read_text(spark, f"{checkpoint_path.rstrip('/')}/metadata"))["id"]
 
 
 def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
@@ -54,71 +74,126 @@ def incremental_silver(spark: SparkSession, bronze_path: str, staging_path: str,
                        regions: Iterable[str] | None = tuple(SILVER_REGIONS),
                        run_date: _dt.date | str | None = None,
                        max_files_per_batch: int | None = None) -> dict:
-    """One incremental run. Returns the (region, day) pairs rebuilt and the
-    micro-batch ids.
+    """One incremental run. Returns the (region, month) folders that were
+    replaced, the micro-batch ids, and per batch the rows read (videos), staged
+    and merged (M1).
 
     ``checkpoint_path`` must be on shared storage (it is the stream's
     progress log); ``staging_path`` and ``silver_path`` must differ.
     """
-    if staging_path.rstrip("/") == silver_path.rstrip("/"):
+    staging_path, silver_path = staging_path.rstrip("/"), silver_path.rstrip("/")
+    if staging_path == silver_path:
         raise ValueError("staging and Silver must be separate folders")
-    wanted = None if regions is None else sorted({r.strip().lower() for r in regions})
-    touched: set[str] = set()
-    batches: list[int] = []
-
-    def stage(batch: DataFrame, batch_id: int) -> None:
-        clean = cleanse(to_flat(batch, run_date))
-        if wanted is not None:
-            clean = clean.filter(F.col("region").isin(wanted))
-        clean = clean.withColumn("batch", F.lit(batch_id)).persist()
-        try:
-            write_table(clean, staging_path, partition_by=STAGING_PARTITIONS)
-            # bounded: regions x days present in one micro-batch
-            pairs = [(r[0], r[1]) for r in clean.select(*SILVER_PARTITIONS).distinct().collect()]
-            # before the batch is committed: a run that dies here repeats the batch
-            if pairs:
-                publish(spark, staging_path, silver_path, pairs)
-            touched.update(pairs)
-            batches.append(batch_id)
-        finally:
-            clean.unpersist()
+    entries: list[dict] = []
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        stream = _stream_id(spark, checkpoint_path)
+        home = f"{staging_path}/{stream}/batch={batch_id}"
+        noted = files.read_text(spark, _entry_path(staging_path, stream, batch_id))
+        entry = json.loads(noted) if noted else merge_batch(spark, batch, home, silver_path, run_date)
+        entry |= {"stream": stream, "batch": batch_id}
+        if not noted:
+            files.replace_text(spark, _entry_path(staging_path, stream, batch_id), json.dumps(entry) + "\n")
+        publish(spark, home, silver_path, entry)
+        entries.append(entry)
+        for name in files.children(spark, f"{staging_path}/{stream}"):
+            if int(name.partition("=")[2]) < batch_id:  # committed long ago
+                files.delete(spark, f"{staging_path}/{stream}/{name}")
+        fold_manifest(spark, staging_path)
 
     query = (
-        _stream(spark, bronze_path, fmt, max_files_per_batch).writeStream
-        .foreachBatch(stage)
+        _stream(spark, bronze_path, fmt, regions, max_files_per_batch).writeStream
+        .foreachBatch(take)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return {"partitions": sorted(touched, key=repr), "batches": batches}
-
-
-def _in_pairs(pairs: list[tuple]) -> Column:
-    """Literal predicate on the partition columns, so only the named staging
-    folders are listed for the scan (nulls are folders of their own)."""
-    def one_of(name: str, values: set) -> Column:
-        known = sorted(v for v in values if v is not None)
-        cond = F.col(name).isin(known) if known else F.lit(False)
-        return cond | F.col(name).isNull() if None in values else cond
-
-    days: dict = {}
-    for region, day in pairs:
-        days.setdefault(region, set()).add(day)
-    out = F.lit(False)
-    for region, wanted in sorted(days.items(), key=repr):
-        out = out | (one_of("region", {region}) & one_of("trending_date_parsed", wanted))
-    return out
-
-
-def publish(spark: SparkSession, staging_path: str, silver_path: str,
-            pairs: list[tuple] | None = None) -> None:
-    """D1 over every staged row of the given (region, day) pairs -> Silver
-    (dynamic overwrite: other folders stay). ``pairs=None`` rebuilds all,
-    which is also the recovery step after an interrupted run."""
-    staged = spark.read.parquet(staging_path)
-    if pairs is not None:
-        staged = staged.filter(_in_pairs(pairs))
-    rows = staged.select(*CLEAN_COLUMNS)
-    write_table(latest_statistics(with_audit(rows, STATS_JOB)), silver_path,
-                partition_by=SILVER_PARTITIONS)
+    counts = ("batch", "rows_read", "rows_staged", "rows_merged")
+    return {"partitions": sorted({folder for e in entries for folder in folders(e)}, key=repr),
+            "batches": [e["batch"] for e in entries],
+            "metrics": [{k: e[k] for k in counts} for e in entries]}
+
+
+def folders(entry: dict) -> list[tuple]:
+    return [(f["region"], f["trending_month"]) for f in entry["folders"]]
+
+
+def merge_batch(spark: SparkSession, batch: DataFrame, home: str, silver_path: str,
+                run_date: _dt.date | str | None = None) -> dict:
+    """Stage a micro-batch, and merge it with the stored rows of its folders.
+
+    The folders and counts are observed by the writes themselves. They are few:
+    regions x months of one delivery.
+    """
+    videos, read = observed(explode_items(batch), "stream_read", rows=F.count(F.lit(1)))
+    rows = with_audit(cleanse(to_flat(videos, run_date)).select(*CLEAN_COLUMNS), STATS_JOB)
+    rows = rows.withColumn("trending_month", month_number("trending_date_parsed"))
+    rows, staged = observed(rows, "stream_staged", rows=F.count(F.lit(1)),
+                            folders=F.collect_set(F.struct(*SILVER_PARTITIONS)))
+    rows.write.mode("overwrite").parquet(f"{home}/incoming")
+    touched = sorted(((f["region"], f["trending_month"]) for f in staged.get["folders"] or []), key=repr)
+    merged, out = observed(merged_rows(spark, f"{home}/incoming", silver_path, rows.schema, touched),
+                           "stream_merged", rows=F.count(F.lit(1)))
+    merged.write.mode("overwrite").parquet(f"{home}/merged")
+    return {"folders": [dict(zip(SILVER_PARTITIONS, f, strict=True)) for f in touched],
+            "rows_read": read.get["rows"], "rows_staged": staged.get["rows"], "rows_merged": out.get["rows"]}
+
+
+def merged_rows(spark: SparkSession, incoming_path: str, silver_path: str, schema: T.StructType,
+                touched: list[tuple]) -> DataFrame:
+    """D1 over staged rows and the stored rows of the touched folders (lazy)."""
+    columns = [*CLEAN_COLUMNS, *AUDIT_COLUMNS, "trending_month"]
+    new = spark.read.schema(schema).parquet(incoming_path).select(*columns)
+    stored = files.read_partitions(spark, silver_path, SILVER_PARTITIONS, touched, schema).select(*columns)
+    return merge_latest(stored, new)
+
+
+def publish(spark: SparkSession, home: str, silver_path: str, entry: dict) -> None:
+    """Replace the folders of an entry by its merged rows. Repeating it is harmless."""
+    if entry["folders"]:
+        write_table(spark.read.parquet(f"{home}/merged"), silver_path, partition_by=SILVER_PARTITIONS)
+
+
+# ---------------------------------------------------------------- manifest --
+
+def _entry_path(staging_path: str, stream: str, batch_id: int) -> str:
+    return f"{staging_path}/manifest/{stream}-{batch_id}.json"
+
+
+def fold_manifest(spark: SparkSession, staging_path: str, fold: int = FOLD) -> None:
+    """Once there are more than ``fold`` files of single batches, fold the oldest
+    ``fold`` into one. The newest stays, as a batch that is repeated looks for it."""
+    root = f"{staging_path}/manifest"
+    single = [n for n in files.children(spark, root) if n.endswith(".json") and not n.startswith((".", "folded-"))]
+    if len(single) <= fold:
+        return
+    single.sort(key=lambda n: (n.rpartition("-")[0], int(n.rpartition("-")[2].removesuffix(".json"))))
+    old = single[:fold]
+    text = "".join(files.read_text(spark, f"{root}/{n}") for n in old)
+    files.replace_text(spark, f"{root}/folded-{old[0].removesuffix('.json')}.json", text)
+    for n in old:
+        files.delete(spark, f"{root}/{n}")
+
+
+def read_manifest(spark: SparkSession, staging_path: str) -> DataFrame:
+    """(stream, batch, region, trending_month, rows_read, rows_staged,
+    rows_merged): the folders that each batch replaced. A batch is listed once,
+    also if a run died while its file was folded."""
+    return (spark.read.schema(MANIFEST_SCHEMA).json(f"{staging_path.rstrip('/')}/manifest")
+            .dropDuplicates(["stream", "batch"])
+            .select("stream", "batch", F.inline("folders"), "rows_read", "rows_staged", "rows_merged"))
+
+
+def touched_since(spark: SparkSession, staging_path: str, seen: dict[str, int]) -> tuple[list[tuple], dict[str, int]]:
+    """Folders that batches after ``seen`` (last batch per stream) replaced, and
+    the last batch per stream now."""
+    if not files.exists(spark, f"{staging_path.rstrip('/')}/manifest"):
+        return [], dict(seen)
+    manifest = read_manifest(spark, staging_path)
+    last = F.lit(-1)
+    for stream, batch in seen.items():
+        last = F.when(F.col("stream") == stream, batch).otherwise(last)
+    rows = manifest.where(F.col("batch") > last).select(*SILVER_PARTITIONS).distinct().collect()
+    now = {r["stream"]: r["batch"] for r in manifest.groupBy("stream").agg(F.max("batch").alias("batch")).collect()}
+    return sorted(((r[0], r[1]) for r in rows), key=repr), dict(seen) | now
