@@ -1,6 +1,7 @@
 import json
 
 from trendflow.__main__ import main
+from trendflow.plans.gold import read_gold
 
 
 def test_quality_command_reports_missing_tables(spark, tmp_dir, capsys):
@@ -29,7 +30,7 @@ def test_run_command_builds_gold(spark, tmp_dir, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 0 and out["quality_passed"] is True
     assert out["gold"]["trending_analytics_rows"] > 0
-    assert spark.read.parquet(os.path.join(tmp_dir, "gold", "category_analytics")).count() > 0
+    assert read_gold(spark, os.path.join(tmp_dir, "gold"), "category_analytics").count() > 0
 
 
 def test_incremental_command(spark, tmp_dir, capsys):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from trendflow.operators.cleanse import CLEAN_COLUMNS
+from trendflow.plans.gold import read_gold
 from trendflow.plans.orchestrate import Layout, run_all
 from trendflow.plans.silver import build_silver_statistics, read_bronze_statistics, run_silver_statistics
 from trendflow.sources import bronze
@@ -107,12 +108,12 @@ def test_end_to_end_gate_and_rerun(spark, tmp_dir):
     assert res.quality_passed, res.quality_results
     assert res.reference_summary["documents"] == 7 and res.reference_summary["failed_documents"] == 2
     assert res.gold["channel_analytics_rows"] > 0
-    first = {t: sorted(map(tuple, spark.read.parquet(f"{layout.gold_root}/{t}")
+    first = {t: sorted(map(tuple, read_gold(spark, layout.gold_root, t)
                            .drop("_aggregated_at").collect()))
              for t in ("trending_analytics", "channel_analytics", "category_analytics")}
     res2 = run_all(spark, layout, regions=REGIONS)
     for t, rows in first.items():
-        again = sorted(map(tuple, spark.read.parquet(f"{layout.gold_root}/{t}")
+        again = sorted(map(tuple, read_gold(spark, layout.gold_root, t)
                            .drop("_aggregated_at").collect()))
         assert again == rows
     assert res2.gold == res.gold
@@ -191,5 +192,5 @@ def test_end_to_end_api_json_lane(spark, tmp_dir):
         F.col("_pipeline_metadata.region").isin(REGIONS)).agg(F.sum(F.size("items"))).first()[0]
     assert 0 < res.silver["rows_written"] <= res.silver["rows_read"]
     assert res.quality_passed, res.quality_results
-    trending = spark.read.parquet(f"{layout.gold_root}/trending_analytics")
+    trending = read_gold(spark, layout.gold_root, "trending_analytics")
     assert trending.agg(F.sum("total_videos")).first()[0] == res.silver["rows_written"]

@@ -1,4 +1,4 @@
-"""Command line: ``python -m trendflow run|incremental|quality ...``.
+"""Command line: ``python -m trendflow run|increment|incremental|quality ...``.
 
 Uses the session the cluster provides (``spark-submit`` settings); nothing
 here sets engine configuration.
@@ -34,6 +34,19 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--regions", help="comma list, or 'all' (default: the Silver regions)")
     run.add_argument("--run-date", help="trending day for API rows (default: ingestion day)")
     run.add_argument("--dq-tables", default=",".join(DEFAULT_DQ_TABLES))
+    run.add_argument("--run-id", help="a stopped run goes on when it is started again with its id")
+    run.add_argument("--database", help="register Silver and Gold as tables of this database")
+
+    grow = sub.add_parser("increment", help="new Bronze files -> Silver, quality gate, Gold of the touched months")
+    grow.add_argument("--bronze-statistics", required=True)
+    grow.add_argument("--silver-root", required=True)
+    grow.add_argument("--gold-root", required=True)
+    grow.add_argument("--staging", required=True)
+    grow.add_argument("--checkpoint", required=True)
+    grow.add_argument("--format", choices=["csv", "json"], default="csv")
+    grow.add_argument("--regions")
+    grow.add_argument("--dq-tables", default=",".join(DEFAULT_DQ_TABLES))
+    grow.add_argument("--database")
 
     inc = sub.add_parser("incremental", help="new Bronze files -> staging -> Silver")
     inc.add_argument("--bronze-statistics", required=True)
@@ -57,10 +70,18 @@ def main(argv: list[str] | None = None) -> int:
                         args.gold_root)
         res = run_all(spark, layout, fmt=args.format, regions=_regions(args.regions),
                       run_date=args.run_date, dq_tables=args.dq_tables.split(","),
-                      multi_line=not args.json_lines)
+                      multi_line=not args.json_lines, run_id=args.run_id, database=args.database)
         print(json.dumps({"quality_passed": res.quality_passed, "results": res.quality_results,
                           "silver": res.silver, "reference": res.reference_summary,
-                          "gold": res.gold}, default=str))
+                          "gold": res.gold, "skipped": res.skipped}, default=str))
+        return 0 if res.quality_passed else 2
+    if args.cmd == "increment":
+        from trendflow.plans.orchestrate import Layout, run_increment
+        layout = Layout(args.bronze_statistics, "", args.silver_root, args.gold_root)
+        res = run_increment(spark, layout, args.staging, args.checkpoint, fmt=args.format, regions=_regions(args.regions),
+                            dq_tables=args.dq_tables.split(","), database=args.database)
+        print(json.dumps({"quality_passed": res.quality_passed, "results": res.quality_results,
+                          "silver": res.silver, "gold": res.gold}, default=str))
         return 0 if res.quality_passed else 2
     if args.cmd == "incremental":
         from trendflow.streaming.incremental import incremental_silver
@@ -71,8 +92,7 @@ def main(argv: list[str] | None = None) -> int:
     from trendflow.operators import quality as dq
     root = args.silver_root.rstrip("/")
     tables = {t: (lambda p=f"{root}/{t}": spark.read.parquet(p)) for t in args.tables.split(",")}
-    report = dq.quality_report(spark, tables)
-    rows = [r.asDict(recursive=True) for r in report.collect()]
+    rows = dq.quality_results(spark, tables)
     ok = all(r["passed"] for r in rows)
     print(json.dumps({"quality_passed": ok, "results": rows}, default=str))
     return 0 if ok else 2

@@ -21,6 +21,7 @@ from trendflow.operators.enrich import (
 from trendflow.operators.envelope import attach_envelope
 from trendflow.operators.reference import document_report, reference_rows
 from trendflow.operators.cleanse import CLEAN_COLUMNS
+from trendflow.plans.gold import read_gold
 from trendflow.plans.orchestrate import Layout, run_all
 from trendflow.plans.silver import build_silver_statistics
 from trendflow.session import scratch_path
@@ -235,7 +236,7 @@ def q_pipeline_end_to_end(spark, sf_dir):
     result = run_all(spark, layout, fmt="mixed", regions=None, multi_line=False)
     if result.gold is None:
         raise RuntimeError(f"quality gate: {result.quality_results}")
-    return spark.read.parquet(f"{layout.gold_root}/category_analytics").drop("_aggregated_at")
+    return read_gold(spark, layout.gold_root, "category_analytics").drop("_aggregated_at")
 
 
 QUERIES: dict[str, Query] = {
