@@ -1,0 +1,146 @@
+"""CSV read in parts, bad CSV records, landing by size, pruning by region."""
+
+import os
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from trendflow import catalog
+from trendflow.config import FLAT_NAMES
+from trendflow.operators.cleanse import bad_flat_rows
+from trendflow.plans.silver import read_bronze_statistics, run_silver_statistics
+from trendflow.sinks.parquet import land_payloads
+from trendflow.sources import bronze
+from trendflow.sources import tables as src
+
+HEADER = ",".join(FLAT_NAMES)
+
+
+def csv_file(root, region, name, lines):
+    folder = os.path.join(root, f"region={region}")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w", newline="") as fh:
+        fh.write("\n".join([HEADER, *lines]) + "\n")
+
+
+def record(i, description):
+    return (f'v{i},17.{1 + i % 28:02d}.11,"Title, {i}","He said ""hi""",10,2017,"a|b",{i},5,1,2,,False,False,False,{description}')
+
+
+@pytest.fixture()
+def split_at(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield 65536
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_large_files_without_breaks_are_read_in_parts(spark, tmp_dir, split_at):
+    words = " ".join(f"w{i}" for i in range(30))
+    csv_file(tmp_dir, "US", "whole.csv", [record(i, f'"{words}, 5"" wide"') for i in range(3000)])
+    csv_file(tmp_dir, "GB", "breaks.csv", [record(i, f'"{words}\nand ""more"""') for i in range(3000)])
+    csv_file(tmp_dir, "CA", "small.csv", [record(i, "plain") for i in range(10)])
+    csv_file(tmp_dir, "IN", "stray.csv", [record(i, f'{words} 6" screen') for i in range(2000)] + [record(1, 'x"y,"open\nclosed"')])
+    found = bronze.splittable_files(spark, tmp_dir)
+    assert [f.rpartition("/")[2] for f in found] == ["whole.csv"]
+    whole = bronze.read_flat_statistics(spark, tmp_dir)
+    parts = bronze.read_flat_statistics(spark, tmp_dir, split=None)
+    key = lambda df: sorted(map(tuple, df.drop("_ingested_at").collect()), key=repr)
+    assert key(parts) == key(whole)
+    only = bronze.read_flat_statistics(spark, tmp_dir, regions=["us"], split=found)
+    assert only.rdd.getNumPartitions() >= 4
+    assert only.count() == 3000
+    m = run_silver_statistics(spark, tmp_dir, os.path.join(tmp_dir, "silver"), run_date="2024-01-01")
+    assert m["rows_read"] == whole.count()
+
+
+@pytest.mark.parametrize(("line", "closed"), [
+    ("a,b,c", True), ("", True), (",,", True), ('"a,b",c', True), ('"a""b"', True), ('a"b,c', True), ('x"y,"z"', True), ('"",""', True),
+    ('"a', False), ('a,"b', False), ('b",c', True), ('"a""', False), ('x"y,"open', False), ('"a"b,c', False), ('"' + "x" * 100_000 + '"', True)])
+def test_closed_lines(spark, line, closed):
+    assert spark.createDataFrame([(line,)], "value string").select(F.col("value").rlike(bronze.CLOSED_LINE)).first()[0] is closed
+
+
+def test_closed_lines_against_a_state_machine(spark):
+    """Of lines that the pattern accepts, none ends inside quotes."""
+    def ends_inside(text):
+        inside, start, i = False, True, 0
+        while i < len(text):
+            c = text[i]
+            if inside and c == '"':
+                if text[i + 1:i + 2] == '"':
+                    i += 1
+                else:
+                    inside = False
+            elif not inside and start and c == '"':
+                inside = True
+            start = not inside and c == ","
+            i += 1
+        return inside
+
+    r = random.Random(3)
+    lines = ["".join(r.choice('a,"') for _ in range(r.randint(0, 14))) for _ in range(4000)]
+    got = spark.createDataFrame([(x,) for x in lines], "value string").select("value", F.col("value").rlike(bronze.CLOSED_LINE).alias("ok")).collect()
+    assert sum(g.ok for g in got) > 300
+    assert not [g.value for g in got if g.ok and ends_inside(g.value)]
+
+
+def test_bad_records_are_listed_beside_silver(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "bronze")
+    good = [record(i, "fine") for i in range(20)]
+    csv_file(root, "US", "a.csv", good + ["v90,17.14.11,only three", record(91, 'last,"and, more"'), ',17.14.11,"no id",c,1,2017,t,1,1,1,1,,False,False,False,d'])
+    csv_file(root, "GB", "b.csv", good)
+    silver, bad = os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "bad")
+    m = run_silver_statistics(spark, root, silver, bad_path=bad)
+    assert (m["rows_read"], m["bad_records"]) == (43, 3)
+    rows = {r.reason: r for r in spark.read.parquet(bad).collect()}
+    assert {k: (r.fields, r.region, r.source_file.rpartition("/")[2]) for k, r in rows.items()} == {
+        "too few fields": (3, "us", "a.csv"), "too many fields": (17, "us", "a.csv"), "no video id": (None, "us", "a.csv")}
+    assert rows["too few fields"].record == "v90,17.14.11,only three"
+    # read as far as they go; a record without an id is dropped
+    assert spark.read.parquet(silver).where("video_id in ('v90', 'v91')").count() == 2
+    clean = run_silver_statistics(spark, root, silver, regions=["gb"], bad_path=os.path.join(tmp_dir, "none"))
+    assert clean["bad_records"] == 0 and not os.path.exists(os.path.join(tmp_dir, "none"))
+
+
+def test_payload_files_follow_bytes(spark, tmp_dir):
+    docs = src.api_payload_view(spark, SF_SMALL).select("items", "_pipeline_metadata", F.col("_pipeline_metadata.region").alias("region"),
+                                                        F.lit("2024-01-01").alias("date"), F.lit("03").alias("hour")).repartition(8)
+    land_payloads(docs, f"{tmp_dir}/lines")
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/lines") for f in names if f.endswith(".json")]
+    n = docs.count()
+    assert len(files) == 5 < n  # one small file a folder
+    back = bronze.read_api_statistics(spark, f"{tmp_dir}/lines", regions=None, multi_line=False)
+    assert back.count() == n and not [r for r in back.select("items", "_corrupt_record").collect() if r._corrupt_record]
+    assert sorted(map(repr, back.select("items").collect())) == sorted(map(repr, docs.select("items").collect()))
+    few = docs.limit(7)
+    land_payloads(few, f"{tmp_dir}/objects", one_per_file=True)
+    assert sum(f.endswith(".json") for _, _, names in os.walk(f"{tmp_dir}/objects") for f in names) == 7
+    assert bronze.read_api_statistics(spark, f"{tmp_dir}/objects", regions=None).count() == 7
+
+
+def test_scan_is_pruned_by_the_joined_dimension(spark):
+    df = catalog.q_region_prune_scan(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan)
+    df.collect()
+    assert {r.region for r in df.select("region").distinct().collect()} == {"america", "asia", "europe"}
+
+
+def test_mixed_prefix_with_split_files(spark, tmp_dir, split_at):
+    words = " ".join(f"w{i}" for i in range(30))
+    csv_file(tmp_dir, "US", "whole.csv", [record(i, f'"{words}"') for i in range(1000)])
+    docs = src.api_payload_view(spark, SF_SMALL).limit(20).select(
+        "items", "_pipeline_metadata", F.lit("US").alias("region"), F.lit("2024-01-01").alias("date"), F.lit("03").alias("hour"))
+    land_payloads(docs, tmp_dir)
+    files = bronze.splittable_files(spark, tmp_dir, ["us"], mixed=True)
+    assert len(files) == 1
+    a = read_bronze_statistics(spark, tmp_dir, "mixed", ["us"], multi_line=False, split=files)
+    b = read_bronze_statistics(spark, tmp_dir, "mixed", ["us"], multi_line=False)
+    assert a.count() == b.count() > 1000
+    assert not bad_flat_rows(bronze.read_flat_statistics(spark, tmp_dir, ["us"], mixed=True, bad_records=True, split=files)).collect()

@@ -13,7 +13,7 @@ from trendflow.functions.dates import parse_trending_date
 from trendflow.functions.paths import decode_key, region_from_path
 from trendflow.operators import aggregate as agg
 from trendflow.operators import quality as dq
-from trendflow.operators.cleanse import cast_flat, cleanse, fill_metric_zeros, flatten_api, with_ratios
+from trendflow.operators.cleanse import bad_flat_rows, cast_flat, cleanse, fill_metric_zeros, flatten_api, with_ratios
 from trendflow.operators.dedup import latest_statistics
 from trendflow.operators.enrich import (
     category_lookup, enrich, join_categories, unmatched_count,
@@ -25,7 +25,8 @@ from trendflow.plans.gold import read_gold
 from trendflow.plans.orchestrate import Layout, run_all
 from trendflow.plans.silver import build_silver_statistics
 from trendflow.session import scratch_path
-from trendflow.sinks.parquet import land_reference
+from trendflow.sinks.parquet import land_reference, write_table
+from trendflow.sources import bronze
 from trendflow.sources import tables as src
 from trendflow.streaming.incremental import incremental_silver
 
@@ -47,10 +48,34 @@ def gold_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- queries --
 
 def q_region_prune_scan(spark, sf_dir):
-    """S1 + P6: only the Silver regions pass the scan predicate."""
-    stats = src.statistics_view(spark, sf_dir)
-    return stats.filter(F.col("region").isin("america", "asia", "europe")).select(
-        "video_id", "region", "trending_date_parsed", "views")
+    """S1 + P6: statistics stored by region, joined to the wanted rows of the
+    region table; the scan opens those regions' folders only (dynamic partition
+    pruning). Runs a job when called, as it writes the table."""
+    path = scratch_path(spark, "by-region")
+    stats = src.statistics_view(spark, sf_dir).select("video_id", "region", "trending_date_parsed", "views")
+    write_table(stats, path)
+    wanted = src.table(spark, sf_dir, "region").where(F.col("r_name").isin("AMERICA", "ASIA", "EUROPE"))
+    wanted = wanted.select(F.lower("r_name").alias("region"))
+    return spark.read.schema(stats.schema).parquet(path).join(wanted, "region").select(stats.columns)
+
+
+def q_csv_bad_records(spark, sf_dir):
+    """M2 for CSV: the statistics land as CSV text in which, by fixed rules on
+    the order key, records end early, have fields to spare or no video id; counts
+    per region and reason. Runs a job when called, as it writes files."""
+    path = scratch_path(spark, "bad-csv")
+    order = F.col("l_orderkey")
+    flat = src.flat_bronze_view(spark, sf_dir, extra={"_order": order})
+    names = [c for c in flat.columns if c not in ("region", "_order")]
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in names]
+    values = [F.when(F.col(c).isNull(), "").otherwise(q) for c, q in zip(names, quoted, strict=True)]
+    whole = F.concat_ws(",", *values)
+    line = (F.when(F.col("_order") % 37 == 0, F.concat_ws(",", *values[:5]))
+            .when(F.col("_order") % 41 == 0, F.concat_ws(",", whole, F.lit("spare"), F.lit('"two, of them"'))).otherwise(whole))
+    flat.select(line.alias("value"), F.upper(F.trim("region")).alias("region")).write.partitionBy("region").option(
+        "lineSep", "\n").text(path)
+    rows = bronze.read_flat_statistics(spark, path, regions=None, bad_records=True, header=False)
+    return bad_flat_rows(rows).groupBy("region", "reason").agg(F.count(F.lit(1)).alias("n"), F.max("fields").alias("fields"))
 
 
 def q_flat_cast(spark, sf_dir):
@@ -241,6 +266,7 @@ def q_pipeline_end_to_end(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "region_prune_scan": q_region_prune_scan,
+    "csv_bad_records": q_csv_bad_records,
     "flat_cast": q_flat_cast,
     "nested_flatten": q_nested_flatten,
     "trending_date_parse": q_trending_date_parse,

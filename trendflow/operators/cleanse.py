@@ -163,6 +163,27 @@ def to_flat(df: DataFrame, run_date: _dt.date | str | None = None) -> DataFrame:
     return flatten_api(df, run_date) if is_api_shape(df) else cast_flat(df)
 
 
+#: Fields of a CSV record, quoted ones (which may hold anything) as one.
+_CSV_FIELDS = r'(?:^|,)(?:"(?:[^"]|"")*+"|[^",][^,]*+|)'
+
+
+def bad_flat_rows(df: DataFrame) -> DataFrame:
+    """M2 of CSV rows (from ``read_flat_statistics(bad_records=True)``): a row per
+    record that Silver does not hold as it was meant, with file and reason.
+
+    Records with too few or too many fields are read as far as they go; those
+    without a video id are dropped (P5).
+    """
+    record = F.col("_corrupt_record")
+    fields = F.regexp_count(record, F.lit(_CSV_FIELDS))
+    reason = (F.when(fields < len(FLAT_NAMES), "too few fields").when(fields > len(FLAT_NAMES), "too many fields")
+              .when(record.isNotNull(), "malformed record")
+              .when(try_text(F.col("video_id")).isNull(), "no video id"))
+    return (df.select("source_file", normalise_region(F.col("region")).alias("region"), reason.alias("reason"),
+                      fields.alias("fields"), "video_id", record.alias("record"))
+            .where(F.col("reason").isNotNull()))
+
+
 # --------------------------------------------------------------- cleansing --
 
 def fill_metric_zeros(df: DataFrame, cols: list[str] = METRIC_COLUMNS) -> DataFrame:

@@ -245,6 +245,16 @@ QUALIFY row_number() OVER (
            video_error_or_removed ASC NULLS FIRST, description ASC NULLS FIRST,
            like_ratio ASC NULLS FIRST, engagement_rate ASC NULLS FIRST) = 1""",
 
+    "csv_bad_records": f"""WITH {FACTS}
+SELECT lower(r_name) AS region,
+       CASE WHEN l_orderkey % 37 = 0 THEN 'too few fields' WHEN l_orderkey % 41 = 0 THEN 'too many fields'
+            ELSE 'no video id' END AS reason,
+       count(*) AS n,
+       max(CASE WHEN l_orderkey % 37 = 0 THEN 5 WHEN l_orderkey % 41 = 0 THEN 18 END) AS fields
+FROM facts
+WHERE l_orderkey % 37 = 0 OR l_orderkey % 41 = 0 OR l_orderkey % 101 = 0
+GROUP BY 1, 2""",
+
     "bronze_incremental": f"""WITH {FACTS},
 {FLAT.replace('SELECT CASE', 'SELECT CASE WHEN l_orderkey % 5 = 0 THEN 2 ELSE l_orderkey % 2 END AS delivered, CASE', 1)},
 {TYPED.replace('SELECT video_id', 'SELECT delivered, video_id', 1)}

@@ -15,7 +15,7 @@ Mapping (statistics): one lineitem = one trending row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendflow.config import MAX_ITEMS_PER_PAGE
@@ -108,11 +108,13 @@ def statistics_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flat_bronze_view(spark: SparkSession, sf_dir: str, keep: Column | None = None) -> DataFrame:
+def flat_bronze_view(spark: SparkSession, sf_dir: str, keep: Column | None = None,
+                     extra: dict[str, Column] | None = None) -> DataFrame:
     """Statistics rows as raw CSV text (every column a string), with junk
     values injected by a fixed rule: null ids, non-numeric and fractional
     counts, unknown flags, padded upper-case regions. All rows are kept, or
-    those of the line items for which ``keep`` holds (a delivery)."""
+    those of the line items for which ``keep`` holds (a delivery). ``extra``
+    columns of the line items follow the others."""
     ok = F.col("l_orderkey")
     ln = F.col("l_linenumber")
     views = F.floor("l_extendedprice").cast("bigint").cast("string")
@@ -142,6 +144,7 @@ def flat_bronze_view(spark: SparkSession, sf_dir: str, keep: Column | None = Non
         F.lit("False").alias("video_error_or_removed"),
         F.col("p_type").alias("description"),
         F.concat(F.lit(" "), F.upper("r_name"), F.lit(" ")).alias("region"),
+        *[c.alias(name) for name, c in (extra or {}).items()],
     )
 
 
