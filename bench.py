@@ -21,7 +21,6 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from trendflow import catalog  # noqa: E402
-from trendflow.operators.ranking import release_cached  # noqa: E402
 from trendflow.plans.orchestrate import Layout, run_all  # noqa: E402
 from trendflow.session import local_session, scratch_path  # noqa: E402
 from trendflow.sources.tables import SPREAD  # noqa: E402
@@ -40,7 +39,6 @@ HEADLINE = {
 
 def noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
-    release_cached()
 
 
 def timed(fn) -> float:

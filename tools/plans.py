@@ -15,7 +15,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from trendflow import catalog  # noqa: E402
-from trendflow.operators.ranking import release_cached  # noqa: E402
 from trendflow.session import local_session  # noqa: E402
 
 QUERIES = ["dedup_latest", "category_lookup_join", "trending_analytics", "channel_analytics",
@@ -52,16 +51,10 @@ def main() -> None:
              ]
     for name in QUERIES:
         df = catalog.QUERIES[name](spark, sf_dir)
-        initial = df._jdf.queryExecution().executedPlan().toString()
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         parts.append(f"## {name}\n\n{(catalog.QUERIES[name].__doc__ or '').strip()}\n\n```\n"
                      f"{trimmed(plan)}\n```\n")
-        if "InMemoryTableScan" in plan:
-            cached = initial[initial.find("InMemoryRelation"):]
-            parts.append("Plan of the persisted (cached) part, before execution:\n\n```\n"
-                         f"{trimmed(cached)}\n```\n")
-        release_cached()
     # Gold job variant of A1 (input materialised as Silver Parquet in a real
     # run): metrics and the two distinct sets as separate branches.
     from trendflow.plans.gold import build_gold
@@ -71,7 +64,6 @@ def main() -> None:
     df.collect()
     parts.append("## trending_analytics, Gold-job variant (split distinct branches)\n\n```\n"
                  f"{trimmed(df._jdf.queryExecution().executedPlan().toString())}\n```\n")
-    release_cached()
     os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
     with open(os.path.join(ROOT, "docs", "PLANS.md"), "w") as fh:
         fh.write("\n".join(parts))
