@@ -58,9 +58,8 @@ def fold(events: DataFrame) -> DataFrame:
     per_turn = events.groupBy("conv_id", "turn", "tie").agg(
         F.max(F.when(opens, F.col("seq"))).alias("open"), F.max("seq").alias("last"),
         F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("again"))
-    earlier = (Window.partitionBy("conv_id").orderBy("turn", "tie").rowsBetween(Window.unboundedPreceding, -1))
-    alive = (per_turn.withColumn("cut", F.max("again").over(earlier))
-             .where(F.col("cut").isNull() | (F.col("last") > F.col("cut")))
+    alive = (in_order(per_turn.withColumn("size", F.lit(0).cast("long")), ["conv_id"], ["turn", "tie"], "chat-turns", peak="again")
+             .withColumnRenamed("peak", "cut").where(F.col("cut").isNull() | (F.col("last") > F.col("cut")))
              .select(F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("tie").alias("i"),
                      F.greatest(F.coalesce("open", F.lit(-(2**62))), F.coalesce("cut", F.lit(-(2**62)))).alias("since")))
     kept = (events.join(alive, events["conv_id"].eqNullSafe(alive["c"]) & events["turn"].eqNullSafe(alive["t"])
@@ -89,9 +88,10 @@ def render(messages: DataFrame) -> DataFrame:
                        F.when(F.col("learnt"), F.col("offset") + F.col("size") - len(END)).alias("loss_end"))
 
 
-def in_order(rows: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+def in_order(rows: DataFrame, group: list[str], order: list[str], name: str, peak: str | None = None) -> DataFrame:
     """Adds ``position`` and ``offset`` (rows, and sum of ``size``, before a row
-    of its group) without putting a group into one task. The slices are
+    of its group), and ``peak`` (the largest value of a long column before it,
+    null without one), without putting a group into one task. The slices are
     written to scratch, so that all reads see the same ones."""
     spark = rows.sparkSession
     keys = [*group, *order]
@@ -99,28 +99,34 @@ def in_order(rows: DataFrame, group: list[str], order: list[str], name: str) ->
               .sortWithinPartitions(*keys).withColumn("slice", F.spark_partition_id()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, position, at = _NONE, 0, 0
+        now, position, at, top = _NONE, 0, 0, None
         for batch in batches:
-            positions, offsets = [], []
-            for key, size in zip(zip(*(batch.column(g).to_pylist() for g in group), strict=True), batch.column("size").to_pylist(), strict=True):
+            positions, offsets, peaks = [], [], []
+            values = batch.column(peak).to_pylist() if peak else [None] * batch.num_rows
+            for key, size, value in zip(zip(*(batch.column(g).to_pylist() for g in group), strict=True),
+                                        batch.column("size").to_pylist(), values, strict=True):
                 if key != now:
-                    now, position, at = key, 0, 0
+                    now, position, at, top = key, 0, 0, None
                 positions.append(position)
                 offsets.append(at)
+                peaks.append(top)
                 position, at = position + 1, at + size
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(positions, pa.int64()), pa.array(offsets, pa.int64())],
-                                             names=[*batch.schema.names, "position", "offset"])
+                top = value if top is None else top if value is None else max(top, value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(v, pa.int64()) for v in (positions, offsets, peaks))],
+                                             names=[*batch.schema.names, "position", "offset", "peak"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sliced.schema.fields)
     path = scratch_path(spark, name)
-    local = sliced.mapInArrow(run, f"{fields}, position long, offset long")
+    local = sliced.mapInArrow(run, f"{fields}, position long, offset long, peak long")
     local.write.option("compression", "zstd").parquet(path)
     local = spark.read.schema(local.schema).parquet(path)
     # only the first group of a slice can have rows in an earlier one
     before = Window.partitionBy(*group).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (local.groupBy("slice", *group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars"))
+    highest = F.max(peak) if peak else F.max(F.lit(None).cast("long"))
+    carried = (local.groupBy("slice", *group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars"), highest.alias("top"))
                .select(F.col("slice").alias("s"), *[F.col(g).alias(f"g_{g}") for g in group],
-                       F.sum("n").over(before).alias("n_before"), F.sum("chars").over(before).alias("chars_before"))
+                       F.sum("n").over(before).alias("n_before"), F.sum("chars").over(before).alias("chars_before"),
+                       F.max("top").over(before).alias("peak_before"))
                .where(F.col("n_before").isNotNull()))
     same = F.col("slice") == F.col("s")
     for g in group:
@@ -128,7 +134,8 @@ def in_order(rows: DataFrame, group: list[str], order: list[str], name: str) ->
     return (local.join(F.broadcast(carried), same, "left")
             .withColumn("position", F.col("position") + F.coalesce("n_before", F.lit(0)))
             .withColumn("offset", F.col("offset") + F.coalesce("chars_before", F.lit(0)))
-            .select(*rows.columns, "position", "offset"))
+            .withColumn("peak", F.greatest("peak", "peak_before"))
+            .select(*rows.columns, "position", "offset", *(["peak"] if peak else [])))
 
 
 _NONE = object()
