@@ -142,21 +142,18 @@ def plan(sized: DataFrame, weights: tuple = WEIGHTS, budget: float = BUDGET, max
     ranges = sized.groupBy("pattern", slot.alias("slot")).agg(F.sum("size").alias("words"))
     below = F.sum("words").over(Window.partitionBy("pattern").orderBy("slot")) - F.col("words")
     cuts = (ranges.withColumn("below", below)
-            .join(F.broadcast(shares.select("pattern", "more")), "pattern")  # one row per pattern
+            .join(shares.select("pattern", "more"), "pattern")
             .where((F.col("below") < F.col("more")) & (F.col("below") + F.col("words") >= F.col("more")))
             .select("pattern", F.col("slot").alias("cut"), "below", "more"))
-    inside = (sized.withColumn("slot", slot).join(F.broadcast(cuts), "pattern")  # one row per pattern
+    inside = (sized.withColumn("slot", slot).join(cuts, "pattern")
               .where(F.col("slot") == F.col("cut")))
     running = F.sum("size").over(Window.partitionBy("pattern").orderBy("u", "key", "size")
                                  .rowsBetween(Window.unboundedPreceding, 0))
     least = F.shiftleft(F.col("cut").cast("long"), 63 - RANGE_BITS) - 1  # where not even the range's first is taken
     last = (inside.withColumn("fits", F.col("below") + running - F.col("size") / 2 <= F.col("more"))
             .groupBy("pattern").agg(F.coalesce(F.max(F.when(F.col("fits"), F.col("u"))), F.max(least)).alias("last_u")))
-    # at most one row per pattern: small enough to hold in the plan of what follows
-    found = {tuple(r["pattern"]): r["last_u"] for r in last.collect()}
-    return spark.createDataFrame(
-        [(p, z, t, n, found.get(tuple(p))) for p, z, t, n, _ in rows],
-        "pattern array<string>, source_size long, target double, passes long, last_u long")
+    # a row per pattern: Spark broadcasts it, and what is joined here, where its size allows
+    return materialize(shares.drop("more").join(last, "pattern", "left"), "shares")
 
 
 def _sized(docs: DataFrame, members, text, key, seed) -> DataFrame:
@@ -177,7 +174,7 @@ def mix(docs: DataFrame, members: Column | None = None, text: str = "text", key:
     """
     sized = _sized(docs, members, text, key, seed)
     shares = plan(sized, weights, budget, max_repeats)
-    return (sized.join(F.broadcast(shares), "pattern")  # one row per pattern
+    return (sized.join(shares, "pattern")
             .select(F.col("key").alias(key), "size", "source_size", "target",
                     (F.col("size") * _times(max_repeats)).cast("long").alias("taken")))
 
@@ -191,7 +188,7 @@ def mixed_documents(docs: DataFrame, members: Column | None = None, text: str =
     worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     rows = _keyed(docs.where(worded), members, text, key, seed, F.struct("*").alias("row"))
     times = _times(max_repeats).cast("int")
-    return (rows.join(F.broadcast(shares), "pattern").where(times > 0)  # one row per pattern
+    return (rows.join(shares, "pattern").where(times > 0)
             .withColumn("row", F.explode(F.array_repeat("row", times))).select("row.*"))
 
 
