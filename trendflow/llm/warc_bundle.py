@@ -37,6 +37,8 @@ from trendflow.llm.common import materialize, read_table, scratch_path
 MIN_REVISIT = 100
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 26
+#: Frames that a task reads back, about 16 MB of records.
+FRAMES_PER_TASK = 64
 LEVEL = 3
 #: Fixed numbers of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -201,6 +203,8 @@ def read_bundles(index: DataFrame) -> DataFrame:
     """(page_id, url, payload, payload_bytes, payload_digest, record_type,
     refers_to) per record, by the frames and offsets that the index names."""
     frames = (index.groupBy("bundle", "frame").agg(F.array_sort(F.collect_list("offset")).alias("offsets")))
+    # the index is small beside the frames that it names: tasks follow their number
+    tasks = 1 + index.select("bundle", "frame").distinct().count() // FRAMES_PER_TASK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, file, reader = None, None, None
@@ -217,7 +221,7 @@ def read_bundles(index: DataFrame) -> DataFrame:
         if file:
             file.close()
 
-    return frames.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame").mapInArrow(
+    return frames.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame").mapInArrow(
         run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
