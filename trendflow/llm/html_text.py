@@ -9,10 +9,12 @@ type hidden, and inline styles with ``display:none`` or
 ``visibility:hidden``; further what browsers do not show of objects, media,
 frames, lists of suggestions, definitions in drawings and notes of formulas.
 Texts of drawings and formulas, options (the label, if they have one) and text
-areas are shown. The rest is rendered as it lies on the page: blocks on
+areas, and the values of input fields (labels of buttons, what is typed or
+hinted) are shown. The rest is rendered as it lies on the page: blocks on
 lines of their own, paragraphs and headings with a blank line between, list
-items with marks or numbers and indents, tables with aligned columns,
-preformatted text as written.
+items with marks or numbers (``start``, ``value``) and indents, tables with
+aligned columns on the grid that column and row spans make, preformatted text
+as written.
 
 Cases: null html gives null, empty html the empty text. Unclosed comments,
 tags and raw elements end with the page; a quote opens a value only after "=". Repeated rows are rendered alike;
@@ -200,6 +202,9 @@ def _element(node: Node, box: Layout) -> None:
         if node.attributes.get("alt"):
             box.text(" " + node.attributes["alt"] + " ")
         return
+    if tag == "input":
+        box.text(f" {_shown(node.attributes)} ")
+        return
     if tag in ("option", "optgroup", "select", "svg") or (tag == "text" and node.foreign):  # each label apart
         label = node.attributes.get("label", "") if tag in ("option", "optgroup") else ""
         box.text(f" {label} ")
@@ -237,6 +242,18 @@ def _element(node: Node, box: Layout) -> None:
         box.space()
 
 
+def _shown(attributes: dict) -> str:
+    """What an input field shows: a button's label, or what is typed, or would be."""
+    kind = attributes.get("type", "text").lower()
+    if kind == "image":
+        return attributes.get("alt", "")
+    if kind in ("checkbox", "radio", "password", "file", "range", "color", "hidden"):
+        return attributes.get("placeholder", "") if kind == "password" and not attributes.get("value") else ""
+    if kind in ("submit", "button", "reset"):
+        return attributes.get("value", "")
+    return attributes.get("value") or attributes.get("placeholder", "")
+
+
 def _plain(node: Node) -> str:
     return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else _plain(c) if seen(c) else "" for c in node.children)
 
@@ -245,9 +262,12 @@ def _item(lines: list[str], mark: str) -> list[str]:
     return [(mark if i == 0 else " " * len(mark)) + x if x else x for i, x in enumerate(lines)]
 
 
+def _number(text: str | None, otherwise: int) -> int:
+    return int(text) if re.fullmatch(r"\s*[-+]?\d{1,9}\s*", text or "") else otherwise
+
+
 def _list(node: Node, numbered: bool) -> list[str]:
-    start = node.attributes.get("start", "1")
-    number = int(start) if numbered and re.fullmatch(r"-?\d{1,9}", start) else 1
+    number = _number(node.attributes.get("start"), 1) if numbered else 1
     out: list[str] = []
     loose = Layout()
     for child in node.children:
@@ -256,6 +276,7 @@ def _list(node: Node, numbered: bool) -> list[str]:
             out += loose.lines
             loose = Layout()
             if seen(child):
+                number = _number(child.attributes.get("value"), number)
                 out += _item(_inner(child), f"{number}. " if numbered else "- ")
                 number += 1
         elif isinstance(child, str):
@@ -267,6 +288,7 @@ def _list(node: Node, numbered: bool) -> list[str]:
 
 
 def _rows(node: Node, out: list, rest: Layout) -> None:
+    """The rows of a table with the group (thead, tbody, ...) that each is in."""
     for child in node.children:
         if isinstance(child, str):
             rest.text(child)
@@ -275,11 +297,11 @@ def _rows(node: Node, out: list, rest: Layout) -> None:
         elif child.tag in ("thead", "tbody", "tfoot"):
             _rows(child, out, rest)
         elif child.tag == "tr":
-            out.append(child)
+            out.append((child, node))
         elif child.tag in ("td", "th"):
             row = Node("tr", {})
             row.children.append(child)
-            out.append(row)
+            out.append((row, node))
         else:
             _element(child, rest)
 
@@ -290,33 +312,51 @@ def _width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    """A cell's colspan or rowspan, up to what browsers take; 1 where it is none."""
+    text = cell.attributes.get(name, "1").strip()
+    return min(int(text), most) if re.fullmatch(r"\d{1,9}", text) else 1
+
+
 def _table(node: Node) -> list[str]:
-    rows: list[Node] = []
+    rows: list[tuple[Node, Node]] = []
     rest = Layout()  # captions and text that stands outside of cells
     _rows(node, rows, rest)
     rest.flush()
     grid, stray = [], []
-    for row in rows:
-        cells = []
+    held: dict[int, int] = {}  # column: rows that a cell above still covers
+    for at, (row, group) in enumerate(rows):
+        if at and group is not rows[at - 1][1]:
+            held = {}  # cells end with their group
+        cells: dict[int, list[str]] = {}
+        column, started = 0, {}
         for c in row.children:
             if isinstance(c, Node) and c.tag in ("td", "th") and seen(c):
-                span = c.attributes.get("colspan", "1")
-                cells.append([x for x in _inner(c) if x])
-                cells += [[]] * (min(int(span), 100) - 1 if re.fullmatch(r"[1-9]\d{0,3}", span) else 0)
+                while column in held:
+                    column += 1
+                cells[column] = [x for x in _inner(c) if x]
+                wide, high = max(1, _span(c, "colspan", 1000)), _span(c, "rowspan", 65534)
+                for k in range(column, column + wide):
+                    if high != 1:  # 0: down to the end of the group
+                        started[k] = high - 1 if high else len(rows)
+                column += wide
             elif isinstance(c, str):
                 if c.strip():
                     stray.append(c.strip())
             elif seen(c):
                 stray += _inner(c)
-        if any(cells):
+        held = {k: n - 1 for k, n in held.items() if n > 1} | started
+        if any(cells.values()):
             grid.append(cells)
-    columns = max(map(len, grid), default=0)
-    widths = [max((_width(x) for r in grid if k < len(r) for x in r[k]), default=0) for k in range(columns)]
+    # a column in which no cell begins takes no room
+    columns = sorted({k for r in grid for k in r})
+    widths = {k: max(_width(x) for r in grid for x in r.get(k) or [""]) for k in columns}
     out = list(rest.lines) + stray
     for r in grid:
-        for level in range(max(map(len, r))):
-            parts = [x[level] if level < len(x) else "" for x in r]
-            out.append("  ".join(p + " " * (w - _width(p)) for p, w in zip(parts, widths, strict=False)).rstrip())
+        for level in range(max(map(len, r.values()))):
+            parts = [(r.get(k) or [])[level:level + 1] for k in columns]
+            out.append("  ".join(x + " " * (widths[k] - _width(x)) for k, p in zip(columns, parts, strict=True)
+                                 for x in [p[0] if p else ""]).rstrip())
     return out
 
 
