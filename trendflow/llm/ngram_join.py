@@ -243,8 +243,10 @@ def one_per_class(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kept = lowest.unionByName(found.where(F.col("root").isNull()).select("doc_id", "text_hash").distinct())
     kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
     whole = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    # rows of equal id and text may differ elsewhere: the first by all columns that have an order
+    ordered = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
     stay = (whole.join(kept, (whole["doc_id"] == kept["kept_id"]) & (whole["text_hash"] == kept["kept_hash"]), "left_semi")
-            .groupBy("doc_id", "text_hash").agg(F.first("row").alias("row")).select("row"))
+            .groupBy("doc_id", "text_hash").agg(F.min_by("row", F.struct(*[f"row.{c}" for c in ordered])).alias("row")).select("row"))
     return stay.unionByName(whole.where(F.col("doc_id").isNull()).select("row")).select("row.*")
 
 
