@@ -1,0 +1,159 @@
+"""Further cases of single operators: order without one big group, tasks by
+bytes, spans of cells, sources that overlap."""
+
+import collections
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from trendflow.llm import chat_format, html_text, mixing, ngram_join, warc_bundle
+
+
+# -------------------------------------------------------------- chat log --
+
+EVENTS = "conv_id long, turn long, tie long, seq long, kind string, role string, text string, extra int"
+
+
+def fold_plain(events):
+    """Final messages by replaying the log of a conversation in memory."""
+    turns = collections.defaultdict(list)
+    for e in events:
+        turns[e[0], e[1], e[2]].append(e)
+    low = -(2**62)
+    order = lambda v: (v is not None, v or 0)
+    out = {}
+    for key, own in turns.items():
+        opens = max((e[3] for e in own if e[4] in ("message", "edit", "regenerate")), default=low)
+        cut = max((e[3] for k, es in turns.items() if k[0] == key[0] and tuple(map(order, k)) < tuple(map(order, key))
+                   for e in es if e[4] == "regenerate"), default=None)
+        if cut is not None and max(e[3] for e in own) <= cut:
+            continue
+        since = max(opens, low if cut is None else cut)
+        role = max(((e[3], e[5]) for e in own if e[4] == "message"), default=(0, None))[1]
+        out[key] = (role or "", "".join(e[6] or "" for e in sorted(own, key=lambda e: (e[3], e[6] or "")) if e[3] >= since))
+    return out
+
+
+def test_fold_against_a_replay(spark):
+    r = np.random.default_rng(2)
+    events, seq = [], itertools.count(1)
+    for conv in (1, 2, None):
+        for turn in range(40 if conv == 1 else 6):
+            key = (conv, None if turn == 0 else turn, 0)
+            events.append((*key, next(seq), "message", "user" if turn % 2 else "assistant", f"m{turn}"))
+            for _ in range(int(r.integers(0, 4))):
+                events.append((*key, next(seq), "delta", None, f"+{next(seq)}"))
+            if r.random() < 0.2:
+                events.append((*key, next(seq), str(r.choice(["edit", "regenerate"])), None, "new"))
+        for turn in (3, 5):  # late events: an early turn is made anew, a later one edited
+            events.append((conv, turn, 0, next(seq), "regenerate" if turn == 3 else "edit", None, "again"))
+            events.append((conv, turn + 1, 0, next(seq), "delta", None, "tail"))
+    df = spark.createDataFrame([(*e, 0) for e in events], EVENTS).repartition(5)
+    got = {(m.conv_id, m.turn, m.tie): (m.role, m.text) for m in chat_format.fold(df).collect()}
+    assert got == fold_plain(events)
+
+
+def test_no_window_holds_a_conversation(spark):
+    df = spark.createDataFrame([(1, t, 0, t, "message", "user", "x", 0) for t in range(5)], EVENTS)
+    plan = chat_format.render(chat_format.fold(df))._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("slice#" in line for line in windows)  # over a row per slice only
+
+
+# ------------------------------------------------------------------- html --
+
+@pytest.mark.parametrize("html, text", [
+    ("<table><tr><td rowspan=2>left<td>b<tr><td>c</table>", "left  b\n      c"),
+    ("<table><tr><td colspan=1000>wide<td>x<tr><td>a<td>b</table>", "wide     x\na     b"),
+    ("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>", "a     b\n      c\nd  e  f"),
+    ("<table><thead><tr><th rowspan=0>h<th>k</thead><tbody><tr><td>a<td>b</table>", "h  k\na  b"),
+    ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+    ("<table><tr><td colspan=0>a<td rowspan=x>b<tr><td>c</table>", "a  b\nc"),
+    ("<ol><li value=7>a<li>b<li value=-1>c<li value=x>d</ol>", "7. a\n8. b\n-1. c\n0. d"),
+    ("<form>Name <input value=Bob><input type=submit value=Send><input type=hidden value=no></form>", "Name Bob Send"),
+    ("<input placeholder=hint><input type=password value=x><input type=checkbox value=on><input type=image alt=go>", "hint go"),
+    ("<input type=text hidden value=no>a<input type=SEARCH value='b  c'>", "a b c"),
+])
+def test_spans_and_fields(html, text):
+    assert html_text.render(html) == text
+
+
+def test_many_spanned_columns_and_rows_stay_cheap():
+    page = "<table>" + "<tr><td colspan=1000 rowspan=65534>x" * 300 + "</table>"
+    assert html_text.render(page).count("x") == 300
+
+
+# ------------------------------------------------------------------- warc --
+
+def test_frames_are_read_back_by_several_tasks(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(warc_bundle, "FRAMES_PER_TASK", 2)
+    rng = np.random.default_rng(1)
+    rows = [(i, "http://x/", rng.bytes(60_000).hex()) for i in range(60)]
+    index = warc_bundle.write_bundles(warc_bundle.mark_revisits(spark.createDataFrame(rows, "page_id long, url string, html string")), tmp_dir + "/w")
+    frames = index.select("bundle", "frame").distinct().count()
+    back = warc_bundle.read_bundles(index)
+    assert frames > 8 and back.rdd.getNumPartitions() == 1 + frames // 2
+    assert {r.page_id: bytes(r.payload) for r in back.collect()} == {i: h.encode() for i, _, h in rows}
+
+
+# -------------------------------------------------------- near duplicates --
+
+def test_kept_row_of_equal_ids_does_not_depend_on_partitions(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, s, lang, {"k": n}) for n, (s, lang) in enumerate(itertools.product(["b", "a", None], ["y", "x"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, more map<string,int>")
+    kept = [ngram_join.one_per_class(df.repartition(n, "lang") if n > 1 else df.orderBy(F.desc("source")).coalesce(1)).collect() for n in (1, 2, 5)]
+    assert all(len(k) == 1 for k in kept) and len({(k[0].source, k[0].lang) for k in kept}) == 1
+
+
+# ----------------------------------------------------------------- mixing --
+
+def best_value(supply, quota, repeats):
+    """Largest flow by trying all cuts of a small network."""
+    sources = sorted(quota)
+    best = float("inf")
+    for cut in itertools.product([0, 1], repeat=len(sources)):
+        inside = {s for s, c in zip(sources, cut, strict=True) if c}
+        # sources outside the cut pay their quota, patterns that only reach inside ones pay their supply
+        value = sum(quota[s] for s in sources if s not in inside)
+        value += sum(n * repeats for p, n in supply.items() if any(s in inside for s in p))
+        best = min(best, value)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_flow_against_all_cuts(seed):
+    """The routed words are those of a maximal flow, and marginal costs never
+    fall: a unit is repeated only where no first use is left."""
+    r = np.random.default_rng(seed)
+    sources = list("abcd")
+    patterns = [p for k in (1, 2, 3) for p in itertools.combinations(sources, k)]
+    supply = {patterns[i]: float(r.integers(1, 50)) for i in r.choice(len(patterns), size=6, replace=False)}
+    quota = {s: float(r.integers(0, 120)) for s in sources}
+    flow = mixing.route(supply, quota, 2)
+    sent = {p: sum(f.values()) for p, f in flow.items()}
+    assert all(v <= 2 * supply[p] + 1e-6 and min(flow[p].values()) >= -1e-6 for p, v in sent.items())
+    into = {s: sum(f.get(s, 0.0) for f in flow.values()) for s in sources}
+    assert all(into[s] <= quota[s] + 1e-6 for s in sources)
+    assert sum(sent.values()) == pytest.approx(best_value(supply, quota, 2))
+    # least cost: as many words as can be are used for the first time
+    assert sum(min(v, supply[p]) for p, v in sent.items()) == pytest.approx(best_value(supply, quota, 1))
+
+
+def test_overlapping_sources_come_near_their_targets(spark):
+    text = "w " * 20
+    docs = spark.createDataFrame([(i, text, ["a", "b"] if i % 4 == 0 else ["a"] if i % 4 == 1 else ["b", "c"]) for i in range(400)],
+                                 "doc_id long, text string, sources array<string>")
+    got = mixing.mix(docs, members=F.col("sources"), budget=0.8).collect()
+    assert len(got) == 400 and all(r.taken <= 2 * r["size"] for r in got)
+    again = {r.doc_id: r.taken for r in mixing.mix(docs.repartition(7), members=F.col("sources"), budget=0.8).collect()}
+    assert {r.doc_id: r.taken for r in got} == again
+    assert sum(again.values()) == pytest.approx(0.8 * 700 * 20, rel=0.05)  # a document counts in each of its sources
+
+
+def test_all_sources_null(spark):
+    docs = spark.createDataFrame([(i, "a b c", None) for i in range(30)], "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert len(got) == 30 and sum(r.taken for r in got) == pytest.approx(1.5 * 90, abs=3)
