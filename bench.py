@@ -21,6 +21,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from trendflow import catalog  # noqa: E402
+from trendflow.plans.gold import run_gold  # noqa: E402
 from trendflow.plans.orchestrate import Layout, run_all  # noqa: E402
 from trendflow.session import local_session, scratch_path  # noqa: E402
 from trendflow.sources.tables import SPREAD  # noqa: E402
@@ -75,12 +76,22 @@ def main() -> None:
     for name, job in jobs.items():
         job()  # warm-up
         results[name] = round(statistics.median(timed(job) for _ in range(runs)), 3)
+    # beside the sum: jobs over the Silver that full_run stored
+    more = {}
+    spark.conf.unset(SPREAD)
+    extra = {"gold_from_silver": lambda: run_gold(spark, layout.silver_statistics, layout.silver_reference, layout.gold_root),
+             "gold_of_one_month": lambda: run_gold(spark, layout.silver_statistics, layout.silver_reference, layout.gold_root,
+                                                   touched=[(r, 199506) for r in regions])}
+    for name, job in extra.items():
+        job()
+        more[name] = round(statistics.median(timed(job) for _ in range(runs)), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
         "value": round(sum(results.values()), 3),
         "unit": "sec",
         "queries": results,
+        "more": more,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "shuffle_partitions": cpus,

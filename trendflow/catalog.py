@@ -128,6 +128,19 @@ def q_reference_explode(spark, sf_dir):
         "category_id", "category_name", "region")
 
 
+def q_reference_spellings(spark, sf_dir):
+    """P14: reference rows that come flat, not as documents, in each spelling of
+    their id and title columns: renamed already, joined by a mark, and dotted."""
+    rows = src.category_items_view(spark, sf_dir)
+    spelled = {"renamed": ("category_id", "category_name"), "marked": ("id", "snippet_title"), "dotted": ("id", "snippet.title")}
+    out = None
+    for kind, (cid, name) in spelled.items():
+        frame = rows.select(F.col("item_id").alias(cid), F.col("title").alias(name), "region", "page", F.lit("kept").alias("etag"))
+        part = reference_rows(frame, document_cols=["page"]).select("category_id", "category_name", "region", F.lit(kind).alias("spelling"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_reference_report(spark, sf_dir):
     """M2 + P18: per-document item counts and errors of the reference lane, with
     unreadable and empty documents among them."""
@@ -275,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "silver_statistics": q_silver_statistics,
     "bronze_incremental": q_bronze_incremental,
     "reference_explode": q_reference_explode,
+    "reference_spellings": q_reference_spellings,
     "reference_report": q_reference_report,
     "category_lookup_join": q_category_lookup_join,
     "unmatched_categories": q_unmatched_categories,

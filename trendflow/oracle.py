@@ -245,6 +245,14 @@ QUALIFY row_number() OVER (
            video_error_or_removed ASC NULLS FIRST, description ASC NULLS FIRST,
            like_ratio ASC NULLS FIRST, engagement_rate ASC NULLS FIRST) = 1""",
 
+    "reference_spellings": """WITH i AS (
+  SELECT lower(r_name) AS region, s_suppkey AS page, s_nationkey AS category_id, s_name AS category_name
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE s_suppkey % 17 <> 0 AND s_suppkey % 13 <> 0 AND s_suppkey % 19 <> 0),
+best AS (SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY category_id, region ORDER BY page DESC) = 1)
+SELECT CAST(category_id AS BIGINT) AS category_id, category_name, region, spelling
+FROM best CROSS JOIN (VALUES ('renamed'), ('marked'), ('dotted')) AS s(spelling)""",
+
     "csv_bad_records": f"""WITH {FACTS}
 SELECT lower(r_name) AS region,
        CASE WHEN l_orderkey % 37 = 0 THEN 'too few fields' WHEN l_orderkey % 41 = 0 THEN 'too many fields'

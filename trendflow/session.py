@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +66,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, where it is not installed on them: the
+    operators whose tasks run Python import it there."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="trendflow-ship-")  # the driver's own; Spark serves the file
+    archive = os.path.join(folder, "trendflow.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(at, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder (never machine-local
     on a cluster, because the checkpoint folder is shared storage there)."""

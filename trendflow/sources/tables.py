@@ -239,6 +239,21 @@ def category_documents_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def category_items_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category items as flat rows, a page per supplier so that the highest
+    supplier's name wins; junk, fractional and null ids and null titles by the
+    same rules as in the documents."""
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    sk = F.col("s_suppkey")
+    nation = F.col("s_nationkey").cast("string")
+    rows = supplier.join(_geo(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
+    return rows.select(
+        F.when(sk % 17 == 0, F.lit(None).cast("string")).when(sk % 13 == 0, F.concat(F.lit("x"), sk.cast("string")))
+        .when(sk % 11 == 0, F.concat(nation, F.lit(".5"))).otherwise(nation).alias("item_id"),
+        F.when(sk % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("title"),
+        F.concat(F.lit(" "), F.col("r_name")).alias("region"), sk.alias("page"))
+
+
 def raw_dates_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trending-date text in four shapes, from event timestamps:
     `yy.dd.MM`, ISO date, an impossible `24.32.13`, and junk."""
