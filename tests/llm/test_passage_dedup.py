@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,29 @@ def test_batches_and_partitions_do_not_matter(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
 
 
+@pytest.mark.parametrize(("spans", "remembered"), [(200_000, 64 << 20), (3, 64 << 20), (200_000, 1000), (2, 500)])
+def test_tasks_hold_little(monkeypatch, spans, remembered):
+    """Whatever a task may hold, each window leaves it once: in a segment, or in
+    a span whose bytes a segment has too. (In this process, where the limits are.)"""
+    monkeypatch.setattr(passage_dedup, "SPANS", spans)
+    monkeypatch.setattr(passage_dedup, "REMEMBERED", remembered)
+    monkeypatch.setattr(passage_dedup, "CHUNK", 3000)
+    texts = [t for _, t in corpus(9) if t] + ["one line that many documents have in common, and it is well over a hundred bytes long. " * 3] * 40
+    batch = pa.RecordBatch.from_pydict({"doc": list(range(len(texts))), "sub": [0] * len(texts), "text": texts})
+    spots = [r for b in passage_dedup._find_anchors(100, 40)([batch]) for r in b.to_pylist()]
+    lists = [[{"key": r["key"], "at": r["at"]} for r in spots if r["doc"] == i] for i in range(len(texts))]
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int64())]))
+    rows = pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("sub"), batch.column("text"), pa.array(lists, kind)],
+                                      names=["doc", "sub", "text", "spots"])
+    out = [r for b in passage_dedup._cut(100, 40)([rows.slice(0, 30), rows.slice(30)]) for r in b.to_pylist()]
+    body = [t.encode() for t in texts]
+    windows = [w for r in out for w in [(r["doc"], r["start"] + i) for i in range(r["n"])]]
+    assert sorted(windows) == [(i, at) for i, t in enumerate(body) for at in range(len(t) - 99)]
+    held = {r["seg"][i:i + 100] for r in out if r["key"] is not None for i in range(r["n"])}
+    repeats = [r for r in out if r["key"] is None]
+    assert repeats and all(body[r["doc"]][r["start"] + i:r["start"] + i + 100] in held for r in repeats for i in range(r["n"]))
+
+
 def test_texts_of_one_id_and_empty_table(spark):
     long = " ".join(f"word{i}" for i in range(60))
     df = spark.createDataFrame([(1, long), (1, long + " more"), (2, long)], "doc_id long, text string")

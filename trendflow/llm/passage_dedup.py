@@ -53,9 +53,11 @@ GRAM = 40
 HOT = 4096
 CELL_BYTES = 4 << 20
 SHARDS = 4
-#: Bytes of text that are hashed at a time, and of segments that a task compares among themselves.
+#: Bytes of text that are hashed at a time, and what a task holds at most: bytes
+#: of segments that it compares among themselves, and spans found so far.
 CHUNK = 1 << 18
 REMEMBERED = 64 << 20
+SPANS = 200_000
 #: Anchors are compared by hash, then by place, which takes the low bits.
 PLACE = np.uint64((1 << 31) - 1)
 
@@ -160,7 +162,7 @@ class _Seen:
     """Segments by content: the first occurrence of each, and spans of others."""
 
     def __init__(self):
-        self.rows, self.spans, self.bytes = {}, {}, 0
+        self.rows, self.spans, self.bytes, self.found = {}, {}, 0, 0
 
     def add(self, seg: bytes, key: int, place: tuple, n: int, a: int, low: int, high: int) -> None:
         """``place``: (id or the largest number, sub, start, id or None)."""
@@ -172,6 +174,16 @@ class _Seen:
             if place[:3] < old[0][:3]:
                 self.rows[key, seg], place, n = (place, n, a, low, high), old[0], old[1]
             self.spans.setdefault((place[3], place[1]), []).append((place[2], n))
+            self.found += 1
+
+    def bounded(self, most: int) -> Iterator[pa.RecordBatch]:
+        """What has to leave so that no more than ``most`` bytes of segments and
+        ``SPANS`` spans are held."""
+        if self.bytes > most:
+            yield from self.take()
+        elif self.found > SPANS:
+            yield from _spans(self.spans)
+            self.spans, self.found = {}, 0
 
     def take(self) -> Iterator[pa.RecordBatch]:
         if self.rows:
@@ -229,8 +241,7 @@ def _cut(length: int, gram: int):
                 for j in range(bounds[i], bounds[i + 1]):
                     start, n, a = packed[j] >> 16, packed[j] >> 8 & 255, packed[j] & 255
                     seen.add(text[start:start + n + length - 1], key[j], (_order(doc), sub, start, doc), n, a, 0, length - gram)
-                if seen.bytes > REMEMBERED:
-                    yield from seen.take()
+                yield from seen.bounded(REMEMBERED)
         yield from seen.take()
 
     return run
@@ -241,10 +252,9 @@ def _collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen, last = _Seen(), None
     for batch in batches:
         for r in batch.to_pylist():
-            if last != (r["key"], r["seg"]):
-                last = (r["key"], r["seg"])
-                if seen.bytes > CELL_BYTES:
-                    yield from seen.take()
+            # the first of equal segments stays until the next one comes
+            yield from seen.bounded(CELL_BYTES if last != (r["key"], r["seg"]) else 1 << 62)
+            last = (r["key"], r["seg"])
             seen.add(r["seg"], r["key"], (_order(r["doc"]), r["sub"], r["start"], r["doc"]), r["n"], r["a"], r["low"], r["high"])
     yield from seen.take()
 
@@ -359,7 +369,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     spots = materialize(docs.where(F.octet_length("text") >= length).mapInArrow(_find_anchors(length, gram), _SPOT), "anchors", tidy=True)
     again = materialize(
         spots.repartitionByRange("key", "doc", "sub", "at").sortWithinPartitions("key").mapInArrow(_with_neighbours, _SPOT)
-        .groupBy("doc", "sub").agg(F.collect_list(F.struct("key", "at")).alias("spots"))
+        .groupBy("doc", "sub").agg(F.collect_set(F.struct("key", "at")).alias("spots"))
         .withColumnsRenamed({"doc": "d", "sub": "s"}), "anchors-again", tidy=True)
     discard(spots)
     same = docs["doc"].eqNullSafe(again["d"]) & (docs["sub"] == again["s"])
@@ -409,7 +419,7 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(body).alias("sub"), body.alias("text"))
     spans = repeated_windows(rows, length, **options)
-    per_doc = (spans.groupBy("doc", "sub").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    per_doc = (spans.groupBy("doc", "sub").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
                .withColumnsRenamed({"doc": "d", "sub": "s"}))
     same = rows["doc"].eqNullSafe(per_doc["d"]) & (rows["sub"] == per_doc["s"])
     return (rows.join(per_doc, same, "left").select("doc", "text", "runs").mapInArrow(
