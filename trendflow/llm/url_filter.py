@@ -13,8 +13,10 @@ path reaches ``REJECT``. Hand-made rules override the tree; the longest wins.
 
 The tree is built on counts per (host, path by form), pre-aggregated before
 the shuffle, so a host with a third of all pages is a few rows. It goes as deep
-as the paths do, one aggregate per depth; a node whose labels are all alike has
-only similar children, so its paths are settled there.
+as the paths do; a node whose labels are all alike has only similar children,
+so its paths are settled there. A node whose paths have at most ``IN_TASK``
+segments together is built to the end in one task, however deep; only larger
+ones go down by an aggregate per depth, until what is below them is that small.
 
 Cases: a url that is null or has no ``://`` has empty host and path and no
 rule. An unlabelled branch takes the share of its parent; a host without any
@@ -25,6 +27,9 @@ Empty tables give empty results; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +38,8 @@ from trendflow.llm.common import discard, materialize, read_table
 SIMILAR = 2.58
 PRIOR = 10.0
 REJECT = 0.5
+#: Segments of all paths below a node, up to which one task builds its tree.
+IN_TASK = 500_000
 #: (verdict, host, path) of the contract's rules.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -74,7 +81,75 @@ def by_form(path: Column) -> Column:
 _END, _REST = "/", "*/"  # the end of a path, and the wildcard of similar children: no segment holds a slash
 
 
-def rejected(counts: DataFrame, prior: float = PRIOR, reject: float = REJECT, similar: float = SIMILAR) -> DataFrame:
+def settle(forms: list, bad: list[int], labelled: list[int], p_bad: int, p_n: int, prior_share: float, depth: int,
+           prior: float, reject: float, similar: float) -> list[int]:
+    """The rows that are blocked below one node of a tree, to any depth: the same
+    steps as those of ``_descend``, over a node's rows in memory."""
+    blocked, todo = [], [(range(len(forms)), depth, p_bad, p_n, prior_share)]
+    while todo:
+        rows, depth, p_bad, p_n, prior_share = todo.pop()
+        share = (p_bad + prior * prior_share) / (p_n + prior)
+        mixed = 0 < p_bad < p_n
+        children: dict = {}
+        for i in rows:
+            if mixed and len(forms[i]) >= depth:
+                children.setdefault(forms[i][depth] if len(forms[i]) > depth else _END, []).append(i)
+            elif share >= reject:
+                blocked.append(i)
+        groups: dict = {}
+        for segment, own in children.items():
+            b, n = sum(bad[i] for i in own), sum(labelled[i] for i in own)
+            rest_b, rest_n = p_bad - b, p_n - n
+            differs = False
+            if n and rest_n:
+                spread = math.sqrt(share * (1 - share) * (1 / n + 1 / rest_n))
+                differs = spread > 0 and abs(b / n - rest_b / rest_n) / spread > similar
+            group = groups.setdefault(segment if differs else _REST, [[], 0, 0])
+            group[0] += own
+            group[1] += b
+            group[2] += n
+        for own, b, n in groups.values():
+            todo.append((own, depth + 1, b, n, (p_bad - b + prior * prior_share) / (p_n - n + prior)))
+    return blocked
+
+
+def _settled(rows: DataFrame, depth: int, prior: float, reject: float, similar: float) -> DataFrame:
+    """(host, form) blocked below the nodes of ``rows``, a node in one task."""
+    def one(node: pd.DataFrame) -> pd.DataFrame:
+        node = node.reset_index(drop=True)
+        first = node.iloc[0]
+        forms = [list(f) for f in node["form"]]
+        at = settle(forms, node["bad"].tolist(), node["labelled"].tolist(), int(first["p_bad"]), int(first["p_n"]),
+                    float(first["prior"]), depth, prior, reject, similar)
+        return pd.DataFrame({"host": pd.Series([first["host"]] * len(at), dtype=object),
+                             "form": pd.Series([forms[i] for i in at], dtype=object)})
+
+    return rows.groupBy("host", "node").applyInPandas(one, "host string, form array<string>")
+
+
+def _descend(rows: DataFrame, depth: int, prior: float, similar: float) -> DataFrame:
+    """The rows of open nodes at their children, similar ones of which are one."""
+    share = (F.col("p_bad") + prior * F.col("prior")) / (F.col("p_n") + prior)
+    rows = rows.withColumn("segment", F.coalesce(F.get("form", F.lit(depth)), F.lit(_END)))
+    children = (rows.groupBy("host", "node", "segment").agg(
+        F.sum("bad").alias("bad"), F.sum("labelled").alias("n"),
+        *[F.first(c).alias(c) for c in ("p_bad", "p_n", "prior")]))
+    n, rest_bad, rest_n = F.nullif(F.col("n"), F.lit(0)), F.col("p_bad") - F.col("bad"), F.nullif(F.col("p_n") - F.col("n"), F.lit(0))
+    spread = F.sqrt(share * (1 - share) * (1 / n + 1 / rest_n))
+    z = F.abs(F.col("bad") / n - rest_bad / rest_n) / F.nullif(spread, F.lit(0.0))
+    children = children.withColumn("group", F.when(F.coalesce(z > similar, F.lit(False)), F.col("segment")).otherwise(_REST))
+    merged = (children.groupBy("host", "node", "group").agg(
+        F.sum("bad").alias("g_bad"), F.sum("n").alias("g_n"), *[F.first(c).alias(c) for c in ("p_bad", "p_n", "prior")]))
+    # smoothed by the parent's other pages, and those by the parent's own prior
+    others = (F.col("p_bad") - F.col("g_bad") + prior * F.col("prior")) / (F.col("p_n") - F.col("g_n") + prior)
+    merged = merged.select("host", "node", "group", F.col("g_bad").alias("p_bad"), F.col("g_n").alias("p_n"), others.alias("prior"))
+    steps = children.select("host", "node", "segment", "group").join(merged, ["host", "node", "group"])
+    return (rows.drop("p_bad", "p_n", "prior").join(steps, ["host", "node", "segment"])
+            .withColumn("node", F.xxhash64("node", "group")).drop("segment", "group"))
+
+
+def rejected(counts: DataFrame, prior: float = PRIOR, reject: float = REJECT, similar: float = SIMILAR,
+             in_task: int = IN_TASK) -> DataFrame:
     """(host, form) of the paths to block."""
     counts = materialize(counts, "url-counts")
     whole = counts.agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("n")).first()
@@ -87,33 +162,22 @@ def rejected(counts: DataFrame, prior: float = PRIOR, reject: float = REJECT, si
     rows = counts.join(hosts, "host").withColumn("node", F.lit(0).cast("long"))
     done, depth, held = [], 0, counts
     while True:
+        segments = rows.groupBy("host", "node").agg(F.sum(F.size("form") + 1).alias("segments"))
         mixed = (F.col("p_bad") > 0) & (F.col("p_bad") < F.col("p_n"))
-        open_ = mixed & (F.size("form") >= depth)
-        rows = materialize(rows.withColumn("open", open_).withColumn("share", share), "url-tree")
+        # paths of a node whose labels are all alike, or that end above, are judged by it
+        state = (F.when(~(mixed & (F.size("form") >= depth)), F.when(share >= reject, "blocked").otherwise("allowed"))
+                 .when(F.col("segments") > in_task, "open").otherwise("small"))
+        rows = materialize(rows.join(segments, ["host", "node"]).withColumn("state", state).drop("segments"), "url-tree")
         discard(held)
         held = rows
-        done.append(materialize(rows.where(~F.col("open") & (F.col("share") >= reject)).select("host", "form"), "url-blocked"))
-        rows = rows.where("open").drop("open", "share")
+        blocked = rows.where("state = 'blocked'").select("host", "form").unionByName(
+            _settled(rows.where("state = 'small'"), depth, prior, reject, similar))
+        done.append(materialize(blocked, "url-blocked"))
+        rows = rows.where("state = 'open'").drop("state")
         if rows.isEmpty():
             discard(held)
             break
-        segment = F.coalesce(F.get("form", F.lit(depth)), F.lit(_END))
-        rows = rows.withColumn("segment", segment)
-        children = (rows.groupBy("host", "node", "segment").agg(
-            F.sum("bad").alias("bad"), F.sum("labelled").alias("n"),
-            *[F.first(c).alias(c) for c in ("p_bad", "p_n", "prior")]))
-        n, rest_bad, rest_n = F.nullif(F.col("n"), F.lit(0)), F.col("p_bad") - F.col("bad"), F.nullif(F.col("p_n") - F.col("n"), F.lit(0))
-        spread = F.sqrt(share * (1 - share) * (1 / n + 1 / rest_n))
-        z = F.abs(F.col("bad") / n - rest_bad / rest_n) / F.nullif(spread, F.lit(0.0))
-        children = children.withColumn("group", F.when(F.coalesce(z > similar, F.lit(False)), F.col("segment")).otherwise(_REST))
-        merged = (children.groupBy("host", "node", "group").agg(
-            F.sum("bad").alias("g_bad"), F.sum("n").alias("g_n"), *[F.first(c).alias(c) for c in ("p_bad", "p_n", "prior")]))
-        # smoothed by the parent's other pages, and those by the parent's own prior
-        others = (F.col("p_bad") - F.col("g_bad") + prior * F.col("prior")) / (F.col("p_n") - F.col("g_n") + prior)
-        merged = merged.select("host", "node", "group", F.col("g_bad").alias("p_bad"), F.col("g_n").alias("p_n"), others.alias("prior"))
-        steps = children.select("host", "node", "segment", "group").join(merged, ["host", "node", "group"])
-        rows = (rows.drop("p_bad", "p_n", "prior").join(steps, ["host", "node", "segment"])
-                .withColumn("node", F.xxhash64("node", "group")).drop("segment", "group"))
+        rows = _descend(rows, depth, prior, similar)
         depth += 1
     out = done[0]
     for more in done[1:]:
