@@ -133,7 +133,8 @@ def test_payload_landing_roundtrip(spark, tmp_dir):
 
     view = src.api_payload_view(spark, SF_SMALL)
     docs = view.drop("ship_day", "document_id")
-    landed = attach_envelope(docs, F.to_timestamp("_pipeline_metadata.ingestion_timestamp"),
+    # a pull a quarter, of all documents since the last
+    landed = attach_envelope(docs, F.date_trunc("quarter", F.to_timestamp("_pipeline_metadata.ingestion_timestamp")),
                              F.upper("_pipeline_metadata.region"))
     meta = landed.select("_pipeline_metadata.*").first()
     assert meta.source == "youtube_data_api_v3" and meta.video_count >= 1 and meta.region.islower()
@@ -141,7 +142,7 @@ def test_payload_landing_roundtrip(spark, tmp_dir):
     back = bronze.read_api_statistics(spark, tmp_dir, regions=None, multi_line=False)
     assert {"region", "date", "hour"} <= set(back.columns)
     flat = flatten_api(back)
-    direct = flatten_api(view.drop("ship_day"))
+    direct = flatten_api(landed)
     assert direct.count() > 0
     cols = ["video_id", "trending_date", "views", "likes", "dislikes", "region"]
     assert sorted(map(tuple, flat.select(*cols).collect())) == \
@@ -180,7 +181,7 @@ def test_end_to_end_api_json_lane(spark, tmp_dir):
                     os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "gold"))
     view = src.api_payload_view(spark, SF_SMALL)
     landed = attach_envelope(view.drop("ship_day", "document_id"),
-                             F.to_timestamp("_pipeline_metadata.ingestion_timestamp"),
+                             F.date_trunc("quarter", F.to_timestamp("_pipeline_metadata.ingestion_timestamp")),
                              F.upper("_pipeline_metadata.region"))
     land_payloads(landed, layout.bronze_statistics)
     write_category_docs(layout.bronze_reference)
