@@ -157,3 +157,92 @@ def test_all_sources_null(spark):
     docs = spark.createDataFrame([(i, "a b c", None) for i in range(30)], "doc_id long, text string, source string")
     got = mixing.mix(docs).collect()
     assert len(got) == 30 and sum(r.taken for r in got) == pytest.approx(1.5 * 90, abs=3)
+
+
+# ---------------------------------------------------------------- quality --
+
+def test_kept_documents_are_those_of_the_judged_counts(spark):
+    from trendflow.llm import quality_rules as q
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("votes", F.lit("clash"))
+    counted = q.with_features(docs.select("doc_id", "text"))
+    judged = q.judge(counted, q.train(counted)).where("kept")
+    want = sorted(r.doc_id for r in judged.select("doc_id").collect())
+    kept = q.kept_documents(docs)
+    assert kept.columns == docs.columns and 0 < len(want) < docs.count()
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == want
+
+
+# ----------------------------------------------------------- n-gram joins --
+
+def test_recall_of_links_on_the_given_table(spark):
+    """Documents whose id is divisible by 20 against all documents."""
+    import re
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+
+    def shingles(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    holders = collections.defaultdict(list)
+    for k, s in sets.items():
+        for x in s:
+            holders[x].append(k)
+    links = {}
+    for k in (k for k in sets if k % 20 == 0):
+        common = collections.Counter(o for x in sets[k] for o in holders[x] if o != k)
+        links[k] = sum(5 * n >= 4 * (len(sets[k]) + len(sets[o]) - n) for o, n in common.items())
+    got = {r.doc_id: r.n_links for r in ngram_join.jaccard_classes(docs).where("doc_id % 20 = 0").collect()}
+    assert set(got) == set(links) and all(got[k] <= links[k] for k in links)  # nothing is linked that should not be
+    assert sum(links.values()) > 100 and sum(got.values()) >= 0.99 * sum(links.values())
+
+
+# -------------------------------------------------------------------- urls --
+
+def url_counts(seed, hosts=3, n=400):
+    r = np.random.default_rng(seed)
+    rows: dict = {}
+    for _ in range(n):
+        host = f"h{r.integers(hosts)}"
+        form = tuple(str(r.choice(list("abcd"))) for _ in range(int(r.integers(0, 7))))
+        wild = form[:1] == ("a",) or form[:2] == ("b", "c")
+        bad, labelled = rows.get((host, form), (0, 0))
+        k = int(r.integers(0, 5))
+        rows[host, form] = bad + int(r.binomial(k, 0.9 if wild else 0.1)), labelled + k
+    return [(h, list(f), 1, b, m) for (h, f), (b, m) in rows.items()]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_trees_in_a_task_and_by_depth_are_the_same(spark, seed):
+    from trendflow.llm import url_filter
+
+    counts = spark.createDataFrame(url_counts(seed), "host string, form array<string>, n int, bad long, labelled long")
+    found = [sorted((r.host, tuple(r.form)) for r in url_filter.rejected(counts, in_task=k).collect()) for k in (0, 150, 10**6)]
+    assert found[0] == found[1] == found[2] and 0 < len(found[0]) < counts.count()
+
+
+def test_a_path_of_two_thousand_segments_takes_no_more_jobs(spark):
+    from trendflow.llm import url_filter
+
+    def judged(depth):
+        rows = [(i, "http://trap/" + "/".join(["loop"] * (depth - i))) for i in range(40)]
+        pages = spark.createDataFrame(rows, "id long, url string")
+        labels = spark.createDataFrame([(i, i % 2 == 0) for i in range(40)], "id long, bad boolean")
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        out = {r.id: r.verdict for r in url_filter.judge(pages, labels, rules=()).collect()}
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before
+
+    (short, few), (long, jobs) = judged(45), judged(2000)
+    assert len(long) == 40 and long == short
+    assert jobs <= few + 2
+
+
+def test_very_long_url(spark):
+    from trendflow.llm import url_filter
+
+    pages = spark.createDataFrame([(1, "http://a/" + "x" * 200_000), (2, "http://a/" + "/" * 50_000), (3, "http://a")], "id long, url string")
+    labels = spark.createDataFrame([(1, True), (2, False)], "id long, bad boolean")
+    assert url_filter.judge(pages, labels).count() == 3
+    assert url_filter.judge(pages.limit(0), labels).count() == 0

@@ -44,7 +44,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, name: str, *, tidy: bool = False, compression: str = "snappy") -> DataFrame:
+def materialize(df: DataFrame, name: str, *, tidy: bool = True, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet to shared scratch and read it back.
 
     Cuts lineage with files that survive the loss of any executor; the

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendflow.llm.common import discard, materialize, read_table
-from trendflow.llm.linking import connected_components
+from trendflow.llm.linking import by_salt, connected_components, salt, salted_totals, with_totals
 
 THRESHOLD = 0.98
 SEED = 20
@@ -276,7 +276,7 @@ def bucket_links(nodes: DataFrame, threshold: float = THRESHOLD, block: int = BL
     """
     spots = nodes.select(F.explode("buckets").alias("bucket"), "node")
     shared = materialize(spots.repartitionByRange("bucket", "node").sortWithinPartitions("bucket")
-                         .mapInArrow(_shared_buckets, "bucket long, node binary"), "shared-buckets", tidy=True)
+                         .mapInArrow(_shared_buckets, "bucket long, node binary"), "shared-buckets")
     # a bucket's rows are counted, and meet with their number, by salt
     salted = shared.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int"))
     sizes = (salted.groupBy("bucket", "salt").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
@@ -288,7 +288,7 @@ def bucket_links(nodes: DataFrame, threshold: float = THRESHOLD, block: int = BL
              .select("bucket", "node", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi")))
     rows = (cells.join(nodes, "node").select("bucket", "lo", "hi", "blk", "node", "weight", "space", "payload", "buckets")
             .repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi", "node"))
-    out = materialize(rows.mapInArrow(_compare(threshold), "node binary, n long, root binary"), "vector-links", tidy=True)
+    out = materialize(rows.mapInArrow(_compare(threshold), "node binary, n long, root binary"), "vector-links")
     discard(shared)
     return out
 
@@ -310,22 +310,25 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, seed: int
     space = F.concat_ws(":", F.col("label").cast("string"), F.size("payload").cast("string"))
     classes = materialize(
         rows.where(F.col("node").isNotNull()).groupBy("node")
-        .agg(F.count(F.lit(1)).alias("weight"), F.first("payload").alias("payload"), F.first(space).alias("space")), "vector-classes", tidy=True)
+        .agg(F.count(F.lit(1)).alias("weight"), F.first("payload").alias("payload"), F.first(space).alias("space")), "vector-classes")
     largest = classes.groupBy("space").count().agg(F.max("count")).first()[0] or 0
     nodes = materialize(classes.withColumn("space_hash", F.xxhash64("space")).mapInArrow(
         _hash_batches(largest, seed), "node binary, weight long, payload array<double>, space string, buckets array<long>"), "vector-buckets")
     found = bucket_links(nodes, threshold)
     comp = connected_components(found.where(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("n").alias("n")).join(comp, "node", "left")
-    per_class = classes.select("node", "weight").join(linked, "node", "left").select(
-        "node", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("root", "node").alias("root"))
+    # the rows of one content, and the contents of one component, meet their totals by salt
+    dealt = ids.withColumn("_salt", salt("vec_id"))
+    per_node = (salted_totals(dealt, "node", [F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low")],
+                              [F.sum("weight").alias("weight"), F.min("low").alias("low")])
+                .where(F.col("node").isNotNull()).join(linked, "node", "left")
+                .select("node", "_salts", "low", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                        F.coalesce("root", "node").alias("root")))
+    per_node = with_totals(per_node, "root", "node", [F.min("low").alias("lowest")], [F.min("lowest").alias("lowest")])
+    named = dealt.join(by_salt(per_node), ["node", "_salt"], "left")
     discard(nodes)
-    named = ids.join(per_class, "node", "left")
-    lowest = named.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("vec_id").alias("low"))
-    return (named.join(lowest, "root", "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.when(F.col("root").isNull(), F.col("vec_id")).otherwise(F.col("low")).alias("component_id"))
+    return (named.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                         F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("lowest")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
 
 

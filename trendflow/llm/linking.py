@@ -23,10 +23,40 @@ from trendflow.llm.common import discard, materialize
 
 #: Nodes of one block; a task holds two blocks at a time.
 BLOCK = 256
+#: Tasks over which the rows of one key are dealt (bits of a long).
+SALTS = 32
 #: compare(payloads, left, right) -> boolean matrix len(left) x len(right).
 Compare = Callable[[list, np.ndarray, np.ndarray], np.ndarray]
 
 
+def salt(by: str | Column) -> Column:
+    return F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+
+
+def salted_totals(rows: DataFrame, key: str, partial: list[Column], final: list[Column]) -> DataFrame:
+    """One row per key of ``rows`` (which have ``_salt``): ``final`` aggregates of
+    the ``partial`` ones per key and salt, and ``_salts``, the salts as bits."""
+    bit = F.expr("shiftleft(1L, _salt)")
+    return rows.groupBy(key, "_salt").agg(*partial).groupBy(key).agg(*final, F.bit_or(bit).alias("_salts"))
+
+
+def by_salt(totals: DataFrame) -> DataFrame:
+    """A row per salt of a key, to be joined by key and salt: a key that a third
+    of all rows have meets its totals in ``SALTS`` tasks."""
+    held = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit("_salts", i) == 1)
+    return totals.withColumn("_salt", F.explode(held)).drop("_salts")
+
+
+def with_totals(rows: DataFrame, key: str, by: str, partial: list[Column], final: list[Column],
+                where: Column | None = None) -> DataFrame:
+    """``rows`` with aggregates of their key, without the rows of keys that
+    ``where`` leaves out."""
+    dealt = rows.withColumn("_salt", salt(by))
+    totals = salted_totals(dealt, key, partial, final)
+    totals = totals if where is None else totals.where(where)
+    return dealt.join(by_salt(totals), [key, "_salt"]).drop("_salt")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node of ``edges``.
 
@@ -63,9 +93,9 @@ def _fingerprint(edges: DataFrame) -> tuple:
 
 def _large_star(e: DataFrame) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return (both.join(low, "a").where(F.col("b") > F.col("a"))
-            .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+    # the centre of a star has as many edges as its component has nodes
+    rows = with_totals(both, "a", "b", [F.min("b").alias("m")], [F.min("m").alias("m")])
+    return (rows.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
 
 
 def _small_star(e: DataFrame) -> DataFrame:
@@ -87,9 +117,9 @@ def candidate_clusters(buckets: DataFrame) -> DataFrame:
     ``buckets``: (id, bucket) of ``short`` ids, materialised, as it is read
     twice; nothing reads it any more once this returns. ``held`` as above.
     """
-    lead = (buckets.groupBy("bucket").agg(F.min("id").alias("b"), F.max("id").alias("top"))
-            .where(F.col("b") != F.col("top")).select("bucket", "b"))
-    star = buckets.join(lead, "bucket").select(F.col("id").alias("a"), "b")
+    star = with_totals(buckets, "bucket", "id", [F.min("id").alias("b"), F.max("id").alias("top")],
+                       [F.min("b").alias("b"), F.max("top").alias("top")], F.col("b") != F.col("top"))
+    star = star.select(F.col("id").alias("a"), "b")
     comp = connected_components(star)
     out = comp.select(F.col("node").alias("id"), F.col("root").alias("cluster"))
     out.held = comp.held
@@ -98,9 +128,8 @@ def candidate_clusters(buckets: DataFrame) -> DataFrame:
 
 def blocked(clusters: DataFrame, payload: DataFrame, block: int = BLOCK) -> DataFrame:
     """Rows (cluster, lo, hi, blk, node, weight, payload): the tasks' inputs."""
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     blocks = F.ceil(F.col("n") / block).cast("int")
-    dealt = (clusters.join(sizes, "cluster")
+    dealt = (with_totals(clusters, "cluster", "id", [F.count(F.lit(1)).alias("n")], [F.sum("n").alias("n")])
              .select("id", "cluster", blocks.alias("blocks"), F.pmod(F.xxhash64("id"), blocks).cast("int").alias("blk")))
     return (payload.withColumn("id", short()).join(dealt, "id")
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -366,43 +366,43 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ho
     if not 0 < gram <= length or length - gram + 1 > 255:
         raise ValueError("a window holds one to 255 grams")
     # each step's shuffle files go with it, and what it read once the next is written
-    spots = materialize(docs.where(F.octet_length("text") >= length).mapInArrow(_find_anchors(length, gram), _SPOT), "anchors", tidy=True)
+    spots = materialize(docs.where(F.octet_length("text") >= length).mapInArrow(_find_anchors(length, gram), _SPOT), "anchors")
     again = materialize(
         spots.repartitionByRange("key", "doc", "sub", "at").sortWithinPartitions("key").mapInArrow(_with_neighbours, _SPOT)
         .groupBy("doc", "sub").agg(F.collect_set(F.struct("key", "at")).alias("spots"))
-        .withColumnsRenamed({"doc": "d", "sub": "s"}), "anchors-again", tidy=True)
+        .withColumnsRenamed({"doc": "d", "sub": "s"}), "anchors-again")
     discard(spots)
     same = docs["doc"].eqNullSafe(again["d"]) & (docs["sub"] == again["s"])
     # segments that follow one another overlap, which this codec uses
     cut = materialize(docs.join(again, same).select("doc", "sub", "text", "spots").mapInArrow(_cut(length, gram), _SEGMENT),
-                      "segments", tidy=True, compression="zstd")
+                      "segments", compression="zstd")
     discard(again)
     held, whole, cells = [cut], [_only_spans(cut)], []
     rest = cut.where(F.col("key").isNotNull())
     while True:
-        many = materialize(rest.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > hot).select("key"), "hot-anchors", tidy=True)
+        many = materialize(rest.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > hot).select("key"), "hot-anchors")
         held.append(many)
         if many.isEmpty():
             cells.append(rest)
             break
         cells.append(rest.join(many, "key", "left_anti"))
         once = materialize(rest.join(many, "key", "left_semi").repartitionByRange("key", "seg", "doc", "sub", "start")
-                           .sortWithinPartitions("key", "seg").mapInArrow(_collapse, _SEGMENT), "hot-segments", tidy=True)
+                           .sortWithinPartitions("key", "seg").mapInArrow(_collapse, _SEGMENT), "hot-segments")
         held.append(once)
         whole.append(_only_spans(once))
         rest = once.where(F.col("key").isNotNull())
         still = materialize(rest.groupBy("key").agg(F.count(F.lit(1)).alias("many"), F.max(F.col("high") - F.col("low")).alias("wide"))
-                            .where((F.col("many") > hot) & (F.col("wide") > 0)).select("key"), "hot-anchors", tidy=True)
+                            .where((F.col("many") > hot) & (F.col("wide") > 0)).select("key"), "hot-anchors")
         held.append(still)
         cells.append(rest.join(still, "key", "left_anti"))
-        rest = materialize(rest.join(still, "key", "left_semi").mapInArrow(_halve(length), _SEGMENT), "halves", tidy=True)
+        rest = materialize(rest.join(still, "key", "left_semi").mapInArrow(_halve(length), _SEGMENT), "halves")
         held.append(rest)
     rows = reduce(DataFrame.unionByName, cells)
     size = rows.agg(F.sum(F.octet_length("seg"))).first()[0] or 0
     cell = F.pmod(F.col("key"), F.lit(1 + size // cell_bytes)).alias("cell")
     found = (rows.select(cell, "key", "seg", "doc", "sub", "start", "n").repartition("cell").sortWithinPartitions("cell")
              .mapInArrow(_cells(length, shards), _SPAN))
-    out = materialize(reduce(DataFrame.unionByName, [*whole, found]), "spans", tidy=True)
+    out = materialize(reduce(DataFrame.unionByName, [*whole, found]), "spans")
     discard(*held)
     out.held = [out]
     return out
