@@ -9,8 +9,8 @@ rules held to be no worse than chance). The posterior probability of good text
 is then a sum of constants picked by the votes, i.e. one SQL expression.
 
 Everything is DataFrame functions; features are computed inside the row,
-without a shuffle. Where only counts are asked for they are written to scratch
-once; the filter computes them twice instead of storing the corpus again.
+without a shuffle, and once: counts, or the rows that may stay with their votes,
+are written to scratch before the model is fitted.
 
 Cases: a null text has no words and fails the base test. Rows that repeat are
 judged alike. Nulls in other columns are kept; a column of the input named
@@ -197,12 +197,31 @@ def judge(counted: DataFrame, model: VoteModel | None, keep_at: float = KEEP_AT)
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("quality_posterior") >= keep_at, F.lit(False))))
 
 
+def _pattern() -> Column:
+    """The votes as one number, a base-3 digit per rule."""
+    return sum(((vote + 1) * 3**i for i, vote in enumerate(rules().values())), F.lit(0)).cast("int")
+
+
+def _digits(pattern: str) -> list[Column]:
+    return [F.floor(F.col(pattern) / 3**i).cast("int") % 3 - 1 for i in range(len(rules()))]
+
+
 def kept_documents(docs: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
-    """The rows of ``docs`` that the rules accept, with all their columns."""
-    # counted twice, once to fit and once to filter: no copy of the corpus in scratch
-    model = train(with_features(docs.select("text")))
+    """The rows of ``docs`` that the rules accept, with all their columns.
+
+    Texts are counted once: rows that pass the base test are written with their
+    votes, the model is fitted on these and picks among the rows. ``held`` of
+    the result lists the scratch table that it reads.
+    """
     whole = docs.select(F.struct("*").alias("row"), "text")
-    return judge(with_features(whole), model, keep_at).where("kept").select("row.*")
+    passing = materialize(with_features(whole).where(~F.col("base_failed")).select("row", _pattern().alias("votes")),
+                          "quality-candidates", compression="zstd")
+    patterns = passing.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).select(*[d.alias(f"v{i}") for i, d in enumerate(_digits("votes"))], "n")
+    counts = {tuple(r)[:-1]: r["n"] for r in patterns.collect()}  # at most 3 ** 8 rows
+    accepted = fit(counts).posterior(_digits("votes")) >= keep_at if counts else F.lit(False)
+    out = passing.where(accepted).select("row.*")
+    out.held = [passing]
+    return out
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
