@@ -2,6 +2,12 @@
 
 Each stage takes the documents that its predecessor kept and returns a
 DataFrame, which is written to shared scratch as Parquet and read again.
+
+Cases, per stage as its operator states them: null and empty texts go in the
+first stage (they fail its base test), as do very long ones only if the rules
+reject them; documents without an id stay until they are packed; of repeated
+rows the second stage keeps one; nulls in other columns and further columns are
+kept up to the last stage; an empty table gives empty tables throughout.
 """
 
 from __future__ import annotations
@@ -54,7 +60,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, read = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
-        discard(*read)  # what the stage read: its output is whole on shared storage
+        made = stage(spark, docs, sf_dir)
+        docs = materialize(made, name)
+        # what the stage read and stored: its output is whole on shared storage
+        discard(*read, *getattr(made, "held", []))
         read = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
