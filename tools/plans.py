@@ -46,8 +46,8 @@ def main() -> None:
              "* A1: `Expand` + partial `HashAggregate` before each exchange (two distinct counts).\n"
              "* A2: four-phase `HashAggregate` for the distinct video count, the category set as a "
              "separate distinct branch, one regroup (`Union`) over aggregated rows.\n"
-             "* W2: `rangepartitioning(region, total_views, channel_title)` (a region spread over "
-             "all tasks) and the offsets table joined by broadcast; top-k uses `WindowGroupLimit`.\n"
+             "* W2: `hashpartitioning` on (region, magnitude, views, first letters of the channel), so a region is "
+             "spread over all tasks; the offsets come from counted ranges; top-k uses `WindowGroupLimit`.\n"
              ]
     for name in QUERIES:
         df = catalog.QUERIES[name](spark, sf_dir)
