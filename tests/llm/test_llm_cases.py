@@ -272,6 +272,23 @@ def _planted(n=3000):
     return rows + [(2 * n + i, b + x + a, "a") for i, (x, b, a) in enumerate(odd)], n, len(odd)
 
 
+def test_scanner_reads_all_documents_and_labels(spark):
+    # one document of many holds a common word, and more labelled values than a sample would hold
+    rows = [(i, "plain text here", "a") for i in range(6000)] + [(6000, "zyzzyva " * 7000, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    dictionary, pairs = secret_scan._language(df, "text", 3)
+    assert dictionary == {"zyzzyva", "here", "plain"} and "zy" in pairs
+    found = spark.range(25_000).selectExpr("id key", "0L start", "concat('q', lpad(hex(id), 20, '0')) value", "'commit ' before", "'' after", "'a' path")
+    seen = {}
+    real, kept = secret_scan.RandomForestClassifier.fit, secret_scan.made_up_findings()
+    try:
+        secret_scan.RandomForestClassifier.fit = lambda self, df, *a: (seen.update(rows=df.count(), tasks=df.rdd.getNumPartitions()), real(self, df, *a))[1]
+        secret_scan.train(df, found)
+    finally:
+        secret_scan.RandomForestClassifier.fit = real
+    assert seen == {"rows": len(kept) + 25_000, "tasks": secret_scan.TRAINING_TASKS}
+
+
 def test_unassigned_secrets_of_a_large_corpus(spark):
     rows, n, odd = _planted()
     got = secret_scan.findings(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()

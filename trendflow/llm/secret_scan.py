@@ -9,13 +9,12 @@ characters change kind, how usual its letter pairs are, how much of it
 dictionary words cover, marks of the path it was found in, and the words
 beside it. A random forest of Spark ML decides, trained from labelled
 findings: a seeded set of made-up secrets and usual false alarms
-(``made_up_findings``) and those of about ``SAMPLE`` candidates of the corpus
+(``made_up_findings``) and all candidates of the corpus
 whose surroundings tell their label: long values assigned to a credential's
 name, and values behind "commit", "checksum" and the like. Those surroundings
 are left out of their features, so they teach what such values look like. All
-others stay unlabelled, and the corpus' rows never outweigh the made-up ones. The dictionary and the pair
-counts come from about ``SAMPLE_DOCS`` documents. Both bounds only concern
-training; every candidate of every text is scored.
+others stay unlabelled, and the corpus' rows never outweigh the made-up ones. The dictionary
+is that of the commonest words of all documents, the pair counts are those of its words.
 
 Cases: null and empty texts have no candidates; a null path has no marks.
 Rows that repeat give their findings each. Null ids are kept. ``redact`` keeps
@@ -34,14 +33,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendflow.llm.common import materialize, read_table, scratch_path, words
+from trendflow.llm.common import discard, materialize, read_table, scratch_path, words
 
-SAMPLE = 20_000
-SAMPLE_DOCS = 2_000
 DICTIONARY = 5_000
+#: Tasks that hold the training rows, a fixed number as the forest's draws depend on it.
+TRAINING_TASKS = 12
 TREES, DEPTH, SEED = 24, 8, 3
 IS_SECRET = 0.5
 MASK = "[SECRET]"
@@ -232,13 +231,15 @@ def _vectors(found: DataFrame, dictionary: frozenset, pairs: dict) -> DataFrame:
     return found.withColumn("x", array_to_vector(row("value", "before", "after", "path")))
 
 
-def _language(docs: DataFrame, text: str, sample_docs: int, size: int) -> tuple[frozenset, dict]:
-    """The commonest words, and log shares of letter pairs, of a sample."""
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    chosen = docs.where(_below(F.xxhash64(F.lit(SEED), F.col(text)), share)).select(F.lower(text).alias(text))
-    counted = (chosen.select(F.explode(words(F.col(text))).alias("w"))
-               .select(F.regexp_extract("w", r"^[^\p{L}]*(\p{L}{3,})", 1).alias("w")).where(F.col("w") != "")
-               .groupBy("w").count().orderBy(F.desc("count"), "w").limit(size).collect())
+def _language(docs: DataFrame, text: str, size: int) -> tuple[frozenset, dict]:
+    """The ``size`` commonest words of all documents, and log shares of their
+    letter pairs."""
+    # written first: collected at once, every task would send the driver ``size`` words
+    common = materialize(docs.select(F.explode(words(F.lower(text))).alias("w"))
+                         .select(F.regexp_extract("w", r"^[^\p{L}]*(\p{L}{3,})", 1).alias("w")).where(F.col("w") != "")
+                         .groupBy("w").count().orderBy(F.desc("count"), "w").limit(size), "words")
+    counted = common.orderBy(F.desc("count"), "w").collect()
+    discard(common)
     total: Counter = Counter(w[i:i + 2] for w in USUAL for i in range(len(w) - 1))
     for r in counted:
         for i in range(len(r["w"]) - 1):
@@ -247,39 +248,39 @@ def _language(docs: DataFrame, text: str, sample_docs: int, size: int) -> tuple[
     return frozenset(r["w"] for r in counted), {p: math.log(n / whole) for p, n in total.items()}
 
 
-def _below(h: Column, share: float) -> Column:
-    return F.shiftrightunsigned(h, 1) < F.lit(min(2**63 - 1, int(share * 2**63)))
-
-
-def train(docs: DataFrame, found: DataFrame, *, text: str = "text", sample: int = SAMPLE, sample_docs: int = SAMPLE_DOCS) -> Scanner:
-    """Fit on made-up findings and on about ``sample`` rows of ``found``."""
+def train(docs: DataFrame, found: DataFrame, *, text: str = "text") -> Scanner:
+    """Fit on made-up findings and on all rows of ``found`` that have a label."""
     spark = docs.sparkSession
-    dictionary, pairs = _language(docs, text, sample_docs, DICTIONARY)
+    dictionary, pairs = _language(docs, text, DICTIONARY)
     made = made_up_findings(vocabulary=tuple(sorted(dictionary)))
-    share = min(1.0, sample / max(1, found.count()))
     value, before = F.col("value"), F.col("before")
     # no name before a value says nothing about it: such rows stay without a label
     label = (F.when(value.rlike(KNOWN.pattern), F.lit(None).cast("int")).when(before.rlike(HARMLESS.pattern), 0)
              .when(before.rlike(ASSIGNED.pattern) & value.rlike(r"^(?=.*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}$"), 1))
     # what is around a value of the corpus labels it and so must not be a feature of it:
-    # these rows teach what such values look like, the made-up ones what names mean
+    # these rows teach what such values look like, the made-up ones what names mean.
+    # A value that comes often is one row with the weight of all
     none = F.lit("")
-    own = (found.where(_below(F.xxhash64(F.lit(SEED), "key", "start", "value"), share))
-           .select("value", none.alias("before"), none.alias("after"), F.lit(None).cast("string").alias("path"), label.alias("label"))
-           .where(F.col("label").isNotNull()))
+    labelled = materialize(found.select("value", label.alias("label")).where(F.col("label").isNotNull()).groupBy("value", "label")
+                           .agg(F.count(F.lit(1)).alias("n")), "labelled")
     # the corpus' rows of a label weigh at most as much as the made-up ones
-    many = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
+    many = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     weigh = {k: min(1.0, sum(m[4] == k for m in made) / many.get(k, 1)) for k in (0, 1)}
+    own = labelled.select("value", none.alias("before"), none.alias("after"), F.lit(None).cast("string").alias("path"), "label",
+                          (F.col("n") * F.when(F.col("label") == 1, weigh[1]).otherwise(weigh[0])).alias("weight"))
     rows = (spark.createDataFrame(made, "value string, before string, after string, path string, label int").withColumn("weight", F.lit(1.0))
-            .unionByName(own.withColumn("weight", F.when(F.col("label") == 1, weigh[1]).otherwise(weigh[0])))
+            .unionByName(own)
             .withColumn("label", F.col("label").cast("double")))
-    # one sorted partition of a bounded sample: the forest's draws depend on the order of rows
-    ready = _vectors(rows, dictionary, pairs).coalesce(1).sortWithinPartitions("value", "before", "after", "path")
+    # the forest's draws depend on the partitions and on the order of rows in them
+    dealt = rows.repartition(TRAINING_TASKS, "value").sortWithinPartitions("value", "before", "after", "path", "label")
+    ready = _vectors(dealt, dictionary, pairs).select("x", "label", "weight").persist()
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     # a fitted model keeps its training summary, and with it the session, which tasks
     # cannot take; the stored one does not, and outlives this driver
     path = scratch_path(spark, "forest")
-    forest.fit(ready.select("x", "label", "weight")).save(path)
+    forest.fit(ready).save(path)
+    ready.unpersist()
+    discard(labelled)
     return Scanner(RandomForestClassificationModel.load(path), dictionary, pairs)
 
 
