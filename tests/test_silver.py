@@ -101,3 +101,13 @@ def test_dedup_keys_unique_and_deterministic(spark):
     assert a == b
     keys = [(r[0], r[1], r[2]) for r in a]
     assert len(keys) == len(set(keys)) == 21
+
+
+def test_derived_columns_are_not_shuffled(spark):
+    df = flat_rows(spark, [{"video_id": "a", "trending_date": "17.14.11", "views": v, "likes": "1", "region": "us"} for v in ("3", "4")])
+    out = build_silver_statistics(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [row_number()"):]
+    assert "like_ratio" not in below and "engagement_rate" not in below and "_processed_at" not in below
+    row = out.first()
+    assert (row.views, row.like_ratio, row.engagement_rate) == (4, 25.0, 25.0) and out.columns[-2:] == ["_processed_at", "_job_name"]
