@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from trendflow.config import API_PAYLOAD_SCHEMA, FLAT_TEXT_SCHEMA, SILVER_PARTITIONS, SILVER_REGIONS
 from trendflow.functions.dates import month_number
-from trendflow.operators.cleanse import CLEAN_COLUMNS, cleanse, explode_items, to_flat, with_audit
+from trendflow.operators.cleanse import CLEAN_COLUMNS, cleanse, explode_items, to_flat, with_audit, with_ratios
 from trendflow.operators.dedup import AUDIT_COLUMNS, merge_latest
 from trendflow.plans.silver import STATS_JOB
 from trendflow.sinks import files
@@ -142,11 +142,14 @@ def merge_batch(spark: SparkSession, batch: DataFrame, home: str, silver_path: s
 
 def merged_rows(spark: SparkSession, incoming_path: str, silver_path: str, schema: T.StructType,
                 touched: list[tuple]) -> DataFrame:
-    """D1 over staged rows and the stored rows of the touched folders (lazy)."""
+    """D1 over staged rows and the stored rows of the touched folders (lazy). What
+    follows from the other columns is derived again instead of being shuffled."""
     columns = [*CLEAN_COLUMNS, *AUDIT_COLUMNS, "trending_month"]
-    new = spark.read.schema(schema).parquet(incoming_path).select(*columns)
-    stored = files.read_partitions(spark, silver_path, SILVER_PARTITIONS, touched, schema).select(*columns)
-    return merge_latest(stored, new)
+    sent = [c for c in columns if c not in ("like_ratio", "engagement_rate", "trending_month")]
+    new = spark.read.schema(schema).parquet(incoming_path).select(*sent)
+    stored = files.read_partitions(spark, silver_path, SILVER_PARTITIONS, touched, schema).select(*sent)
+    rows = with_ratios(merge_latest(stored, new)).withColumn("trending_month", month_number("trending_date_parsed"))
+    return rows.select(*columns)
 
 
 def publish(spark: SparkSession, home: str, silver_path: str, entry: dict) -> None:
