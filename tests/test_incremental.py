@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_files import REGIONS, land_flat
+from trendflow.catalog import land_flat_delivery
 from trendflow.config import SILVER_PARTITIONS
 from trendflow.operators.cleanse import CLEAN_COLUMNS
 from trendflow.plans.silver import build_silver_statistics, read_bronze_statistics, run_silver_statistics
+from trendflow.session import TIDY, tidy_shuffles
 from trendflow.sinks import files
 from trendflow.streaming import incremental as inc
 
@@ -175,3 +177,88 @@ def test_merge_does_not_shuffle_derived_columns(spark, lane):
     sent = [line for line in plan[plan.index(window):].splitlines() if "Project [" in line]  # what is read below lists all columns
     assert sent and not [line for line in sent if "like_ratio" in line]
     assert rows_of(merged) == rows_of(stored.where("region = 'asia'"))
+
+
+def shuffle_files(spark):
+    """Shuffle files that the session holds on its disks."""
+    found = set()
+    for top in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString():
+        for root, _, names in os.walk(top):
+            found |= {os.path.join(root, n) for n in names if n.startswith("shuffle_")}
+    return found
+
+
+def test_run_leaves_no_shuffle_files(spark, lane):
+    land_flat(spark, lane.bronze)
+    before = shuffle_files(spark)
+    own = spark.conf.get(TIDY, None)
+    lane.run()
+    assert not shuffle_files(spark) - before and spark.conf.get(TIDY, None) == own
+
+
+def test_writes_side_by_side_keep_the_setting(spark):
+    own = spark.conf.get(TIDY, None)
+    first, second = tidy_shuffles(spark), tidy_shuffles(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(TIDY) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(TIDY, None) == own
+
+
+@pytest.mark.parametrize("most", [2, 7])  # regions together, and regions by months
+def test_merge_in_rounds(spark, lane, monkeypatch, most):
+    monkeypatch.setattr(files, "ROUND_BYTES", 1)
+    monkeypatch.setattr(files, "MAX_ROUNDS", most)
+    dealt, real = [], inc.merge_rounds
+
+    def noted(*args):
+        dealt.append(real(*args))
+        return dealt[-1]
+
+    monkeypatch.setattr(inc, "merge_rounds", noted)
+    for keep in (F.col("l_orderkey") % 3 > 0, F.col("l_orderkey") % 2 == 1):
+        land_flat(spark, lane.bronze, keep)
+        out = lane.run()
+        assert len(dealt[-1]) > 1
+        assert sorted((f for some, _ in dealt[-1] for f in some), key=repr) == out["partitions"]
+    assert lane.stored() == lane.recomputed()
+    silver = spark.read.parquet(lane.silver).select(*SILVER_PARTITIONS).collect()
+    assert out["metrics"][0]["rows_merged"] == len([r for r in silver if tuple(r) in set(out["partitions"])])
+    stream = next(n for n in os.listdir(lane.staging) if n != "manifest")
+    assert not [n for _, _, names in os.walk(os.path.join(lane.staging, stream)) for n in names if n.endswith(".parquet")]
+
+
+def test_rounds_with_no_region_or_day(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(files, "ROUND_BYTES", 1)
+    batch = spark.createDataFrame(
+        [(f"v{i}", day, region) for i in range(3) for day in ("2024-01-02", "2024-02-02", "junk") for region in ("us", "", None, "a/b")],
+        "video_id string, trending_date string, region string")
+    home, silver = f"{tmp_dir}/home", f"{tmp_dir}/silver"
+    for n in range(2):
+        entry = inc.merge_batch(spark, batch, home, silver)
+        assert (entry["rows_read"], entry["rows_staged"]) == (36, 36) and len(entry["folders"]) == 12
+        inc.publish(spark, home, silver, entry)
+        inc.publish(spark, home, silver, entry)  # repeated by a run that was stopped before its commit
+        got = spark.read.parquet(silver)
+        want = {(f"v{i}", day, r or None) for i in range(3) for day in ("2024-01-02", "2024-02-02", "junk") for r in ("us", "", None, "a/b")}
+        assert {tuple(r) for r in got.select("video_id", "trending_date", "region").collect()} == want
+
+
+def test_folders_are_moved_once_more(spark, tmp_dir):
+    rows = [(1, "us", 202401), (2, "us", None), (3, None, 202401)]
+    for at, n in (("old", 10), ("new", 20)):
+        spark.createDataFrame([(i + n, r, m) for i, r, m in rows], "id int, region string, trending_month int") \
+            .write.partitionBy(*SILVER_PARTITIONS).parquet(f"{tmp_dir}/{at}")
+    keys = [(r, m) for _, r, m in rows]
+    files.move_partitions(spark, f"{tmp_dir}/new", f"{tmp_dir}/old", SILVER_PARTITIONS, keys[:1])  # and stopped there
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/old").collect()) == [12, 13, 21]
+    files.move_partitions(spark, f"{tmp_dir}/new", f"{tmp_dir}/old", SILVER_PARTITIONS, keys)
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/old").collect()) == [21, 22, 23]
+
+
+def test_landed_deliveries_are_compressed(spark, tmp_dir):
+    land_flat_delivery(spark, "/root/testdata/sf0.001", tmp_dir, F.col("l_orderkey") % 2 == 0)
+    names = [n for _, _, found in os.walk(tmp_dir) for n in found if n.startswith("part-")]
+    assert names and all(n.endswith(".csv.gz") for n in names)
